@@ -14,15 +14,20 @@ NA_TOKENS = [
 # What counts as blank after trimming.
 BLANKS = ["", "nan"]
 
+# The Unicode white-space characters. ``trim`` alone removes only spaces.
+WHITE_SPACE = "".join(
+    map(chr, [*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203),
+              8232, 8233, 8239, 8287, 12288])
+)
+
 
 def strip(col: Column) -> Column:
-    """Remove white space of every kind (not only spaces) from both ends."""
-    return F.regexp_replace(col, r"(?U)^\s+|\s+$", "")
+    """Remove white space of every kind from both ends."""
+    return F.btrim(col, F.lit(WHITE_SPACE))
 
 
-def blank_to_null(col: Column) -> Column:
-    text = strip(col)
-    return F.when(~text.isin(BLANKS), text)
+def blank_to_null(stripped: Column) -> Column:
+    return F.when(~stripped.isin(BLANKS), stripped)
 
 
 def na_to_null(col: Column) -> Column:

@@ -1,0 +1,338 @@
+"""Feed-forward and residual networks, trained data-parallel.
+
+Each epoch is one Spark job: every task runs mini-batch Adam over the rows of its partition,
+starting from the common state, and the states are averaged by row count on the executors.
+Only one averaged state, the size of the model, reaches the driver.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
+
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from caseflow.models.training import EarlyStop, Plateau
+from caseflow.schema import SEED
+
+# Fixed values of the networks and their optimiser.
+EPOCHS = 100
+PATIENCE = 10
+HOLDOUT = 0.1
+SCORE_ROWS = 1024
+BETA_1, BETA_2, ADAM_EPSILON = 0.9, 0.999, 1e-8
+NORM_MOMENTUM, NORM_EPSILON = 0.1, 1e-5
+
+CHUNK = 4096  # numbers per averaged piece of the state
+
+
+class Dense:
+    def __init__(self, rows: int, columns: int, rng: np.random.Generator):
+        bound = 1.0 / np.sqrt(rows)
+        self.params = [
+            rng.uniform(-bound, bound, (rows, columns)).astype(np.float32),
+            rng.uniform(-bound, bound, columns).astype(np.float32),
+        ]
+        self.running: list[np.ndarray] = []
+
+    def forward(self, x, rng):
+        self.x = x
+        return x @ self.params[0] + self.params[1]
+
+    def backward(self, g):
+        self.grads = [self.x.T @ g, g.sum(0)]
+        return g @ self.params[0].T
+
+
+class Relu:
+    params: list = []
+    running: list = []
+
+    def forward(self, x, rng):
+        self.on = x > 0
+        return x * self.on
+
+    def backward(self, g):
+        self.grads = []
+        return g * self.on
+
+
+class Dropout:
+    params: list = []
+    running: list = []
+
+    def __init__(self, rate: float):
+        self.rate = rate
+
+    def forward(self, x, rng):
+        if rng is None or self.rate == 0:
+            self.kept = np.float32(1)
+        else:
+            self.kept = (rng.random(x.shape, dtype=np.float32) >= self.rate) / np.float32(
+                1 - self.rate
+            )
+        return x * self.kept
+
+    def backward(self, g):
+        self.grads = []
+        return g * self.kept
+
+
+class BatchNorm:
+    def __init__(self, width: int):
+        self.params = [np.ones(width, np.float32), np.zeros(width, np.float32)]
+        self.running = [np.zeros(width, np.float32), np.ones(width, np.float32)]
+
+    def forward(self, x, rng):
+        if rng is None:
+            mean, var = self.running
+        else:
+            mean, var = x.mean(0), x.var(0)
+            unbiased = var * len(x) / max(len(x) - 1, 1)
+            for kept, new in zip(self.running, (mean, unbiased), strict=True):
+                kept += NORM_MOMENTUM * (new - kept)
+        self.inverse = 1 / np.sqrt(var + NORM_EPSILON)
+        self.z = (x - mean) * self.inverse
+        return self.z * self.params[0] + self.params[1]
+
+    def backward(self, g):
+        self.grads = [(g * self.z).sum(0), g.sum(0)]
+        gz = g * self.params[0]
+        return self.inverse * (gz - gz.mean(0) - self.z * (gz * self.z).mean(0))
+
+
+class Skip:
+    """``relu(layers(x) + x)``."""
+
+    def __init__(self, layers: list):
+        self.layers = layers
+        self.out = Relu()
+
+    def forward(self, x, rng):
+        y = x
+        for layer in self.layers:
+            y = layer.forward(y, rng)
+        return self.out.forward(y + x, rng)
+
+    def backward(self, g):
+        g = self.out.backward(g)
+        back = g
+        for layer in reversed(self.layers):
+            back = layer.backward(back)
+        return back + g
+
+
+@dataclass(frozen=True)
+class Shape:
+    """What a network looks like; ``n_blocks`` is 0 for the plain two-layer network."""
+
+    width: int
+    hidden_size: int
+    dropout: float
+    n_blocks: int = 0
+
+
+class Net:
+    def __init__(self, shape: Shape, seed: int = SEED):
+        rng = np.random.default_rng(seed)
+        h = shape.hidden_size
+        if shape.n_blocks:
+            self.layers = [Dense(shape.width, h, rng), BatchNorm(h), Relu()]
+            for _ in range(shape.n_blocks):
+                self.layers.append(
+                    Skip([Dense(h, h, rng), BatchNorm(h), Relu(), Dropout(shape.dropout),
+                          Dense(h, h, rng), BatchNorm(h)])
+                )
+        else:
+            self.layers = [Dense(shape.width, h, rng), Relu(), Dropout(shape.dropout),
+                           Dense(h, h, rng), Relu(), Dropout(shape.dropout)]
+        self.layers.append(Dense(h, 1, rng))
+        self.leaves = [
+            leaf for layer in self.layers
+            for leaf in (layer.layers if isinstance(layer, Skip) else [layer])
+        ]
+
+    def params(self) -> list[np.ndarray]:
+        return [p for leaf in self.leaves for p in leaf.params]
+
+    def running(self) -> list[np.ndarray]:
+        return [r for leaf in self.leaves for r in leaf.running]
+
+    def grads(self) -> list[np.ndarray]:
+        return [g for leaf in self.leaves for g in leaf.grads]
+
+    def forward(self, x: np.ndarray, rng=None) -> np.ndarray:
+        for layer in self.layers:
+            x = layer.forward(x, rng)
+        return x[:, 0]
+
+    def backward(self, g: np.ndarray) -> None:
+        g = g[:, None]
+        for layer in reversed(self.layers):
+            g = layer.backward(g)
+
+
+def flatten(arrays: Sequence[np.ndarray]) -> np.ndarray:
+    return np.concatenate([a.ravel() for a in arrays]) if arrays else np.zeros(0, np.float32)
+
+
+def restore(arrays: Sequence[np.ndarray], flat: np.ndarray) -> int:
+    at = 0
+    for a in arrays:
+        a[...] = flat[at : at + a.size].reshape(a.shape)
+        at += a.size
+    return at
+
+
+@dataclass
+class State:
+    """Weights, running norms and Adam moments as one flat vector, and the step count."""
+
+    shape: Shape
+    values: np.ndarray
+    steps: int = 0
+
+    @classmethod
+    def start(cls, shape: Shape, seed: int) -> State:
+        net = Net(shape, seed)
+        moments = [np.zeros_like(p) for p in net.params()]
+        return cls(shape, flatten([*net.params(), *net.running(), *moments, *moments]))
+
+    def net(self) -> Net:
+        net = Net(self.shape)
+        restore([*net.params(), *net.running()], self.values)
+        return net
+
+
+def dense_rows(pdf: pd.DataFrame, width: int) -> np.ndarray:
+    """Rows of the encoded matrix: ones at the slots, numbers in the last columns."""
+    slots = np.stack(pdf["slots"].to_numpy())
+    numbers = np.stack(pdf["numbers"].to_numpy()).astype(np.float32)
+    x = np.zeros((len(pdf), width), np.float32)
+    row, place = np.nonzero(slots >= 0)
+    x[row, slots[row, place]] = 1
+    x[:, width - numbers.shape[1] :] = numbers
+    return x
+
+
+def train_task(state: State, rate: float, batch_size: int, seed: int):
+    """The part of one epoch that a task does: Adam over its rows, then its state in pieces."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        net = state.net()
+        params, running = net.params(), net.running()
+        first = [np.zeros_like(p) for p in params]
+        second = [np.zeros_like(p) for p in params]
+        restore([*params, *running, *first, *second], state.values)
+        rng = np.random.default_rng([seed, state.steps])
+        rows, steps = 0, state.steps
+        for pdf in batches:
+            order = rng.permutation(len(pdf))
+            for at in range(0, len(pdf), batch_size):
+                part = pdf.iloc[order[at : at + batch_size]]
+                x = dense_rows(part, state.shape.width)
+                error = net.forward(x, rng) - part["y"].to_numpy(np.float32)
+                net.backward((2 / len(part)) * error)
+                steps += 1
+                fix_1, fix_2 = 1 - BETA_1**steps, 1 - BETA_2**steps
+                for p, g, m, v in zip(params, net.grads(), first, second, strict=True):
+                    m += (1 - BETA_1) * (g - m)
+                    v += (1 - BETA_2) * (g * g - v)
+                    p -= rate * (m / fix_1) / (np.sqrt(v / fix_2) + ADAM_EPSILON)
+            rows += len(pdf)
+        if rows:
+            flat = flatten([*params, *running, *first, *second]).astype(float)
+            pieces = [flat[i : i + CHUNK] for i in range(0, len(flat), CHUNK)]
+            yield pd.DataFrame(
+                {"piece": range(len(pieces)), "n_rows": float(rows), "n_steps": steps,
+                 "part": pieces}
+            )
+
+    return run
+
+
+def train_epoch(train: DataFrame, state: State, rate: float, batch_size: int, seed: int) -> State:
+    """One pass over ``(slots, numbers, y)``; states are averaged by row count, piece by piece."""
+    pieces = train.select("slots", "numbers", "y").mapInPandas(
+        train_task(state, rate, batch_size, seed),
+        "piece int, n_rows double, n_steps int, part array<double>",
+    )
+    averaged = pieces.groupBy("piece").agg(
+        vector_to_array(
+            Summarizer.mean(array_to_vector(F.col("part")), F.col("n_rows"))
+        ).alias("part"),
+        F.max("n_steps").alias("n_steps"),
+    )
+    found = sorted(averaged.collect(), key=lambda r: r["piece"])
+    values = np.concatenate([np.asarray(r["part"], np.float32) for r in found])
+    return State(state.shape, values, max(r["n_steps"] for r in found))
+
+
+def score(encoded: DataFrame, state: State, keep: Sequence[str]) -> DataFrame:
+    """``(keep..., y_pred)``, row batches through the network with fixed weights."""
+    kept = encoded.select(*keep)
+    weights = State(state.shape, state.values[: _model_size(state.shape)], state.steps)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        net = weights.net()
+        for pdf in batches:
+            for at in range(0, len(pdf), SCORE_ROWS):
+                part = pdf.iloc[at : at + SCORE_ROWS]
+                predicted = net.forward(dense_rows(part, weights.shape.width))
+                yield part[list(keep)].assign(y_pred=predicted.astype(float))
+
+    schema = kept.schema.add("y_pred", "double")
+    return encoded.select(*keep, "slots", "numbers").mapInPandas(run, schema)
+
+
+def _model_size(shape: Shape) -> int:
+    net = Net(shape)
+    return sum(a.size for a in [*net.params(), *net.running()])
+
+
+@dataclass
+class Trained:
+    state: State
+    best_epoch: int
+    losses: list[float] = field(default_factory=list)
+
+
+def fit(
+    train: DataFrame,
+    validate: DataFrame,
+    shape: Shape,
+    config: dict,
+    epochs: int = EPOCHS,
+    patience: int = PATIENCE,
+    seed: int = SEED,
+    workers: int | None = None,
+) -> Trained:
+    """Train to the lowest validation loss; residual networks also lower the rate on plateaus.
+
+    ``train`` is dealt over ``workers`` tasks once (default: the cores of the session). Fewer,
+    larger partitions stay closer to one sequential run.
+    """
+    spark = train.sparkSession
+    workers = workers or spark.sparkContext.defaultParallelism
+    dealt = train.select("slots", "numbers", "y").repartition(workers).persist()
+    state = State.start(shape, seed)
+    stop, plateau = EarlyStop(patience), Plateau(config["learning_rate"])
+    result, rate = Trained(state, 1), config["learning_rate"]
+    for epoch in range(1, epochs + 1):
+        state = train_epoch(dealt, state, rate, config["batch_size"], seed + epoch)
+        error = F.col("y") - F.col("y_pred")
+        loss = score(validate, state, ["y"]).agg(F.avg(error * error)).first()[0]
+        result.losses.append(loss)
+        if shape.n_blocks:
+            rate = plateau.step(loss)
+        if stop.improved(loss):
+            result.state, result.best_epoch = state, epoch
+        if stop.done:
+            break
+    dealt.unpersist()
+    return result

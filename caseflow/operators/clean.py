@@ -18,15 +18,13 @@ DEFAULT_CAP_HOURS = 24.0 * 365.0
 
 
 def blanks_to_null(df: DataFrame) -> DataFrame:
-    """Trim every text column; blank and ``nan`` become null. One projection, no shuffle."""
-    return df.select(
-        *[
-            text.blank_to_null(F.col(f.name)).alias(f.name)
-            if isinstance(f.dataType, T.StringType)
-            else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+    """Trim every text column; blank and ``nan`` become null. No shuffle.
+
+    Two projections, so that each value is trimmed once although it is used twice.
+    """
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    stripped = df.withColumns({c: text.strip(F.col(c)) for c in texts})
+    return stripped.withColumns({c: text.blank_to_null(F.col(c)) for c in texts})
 
 
 def parse_dates(
@@ -102,18 +100,18 @@ def keep_columns(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     return df.select(*[c for c in names if c in df.columns])
 
 
-def outlier_limit(df: DataFrame, mode: str, value: float | None = None) -> Column | None:
-    """The largest hours to keep, as a column; ``None`` when nothing is to be cut."""
+def outlier_limit(df: DataFrame, mode: str, value: float | None = None) -> float | None:
+    """The largest hours to keep; ``None`` when nothing is to be cut."""
     if mode not in OUTLIER_MODES:
         raise ValueError(f"unknown outlier mode: {mode!r} (use one of {OUTLIER_MODES})")
     if mode == "none":
         return None
     if mode == "cap_hours":
-        return F.lit(float(DEFAULT_CAP_HOURS if value is None else value))
+        return float(DEFAULT_CAP_HOURS if value is None else value)
     share = DEFAULT_PERCENTILE if value is None else value
     if not 0.0 < share < 1.0:
         raise ValueError("the outlier percentile must lie between 0 and 1")
-    return quantiles.exact_quantiles(df, TARGET, [share]).select("quantile").scalar()
+    return quantiles.quantile_values(df, TARGET, [share])[0]
 
 
 def cut_outliers(
@@ -121,10 +119,11 @@ def cut_outliers(
 ) -> DataFrame:
     """Drop hours above an exact quantile or above a fixed cap.
 
-    ``percentile`` reads ``df`` twice (limit, then filter): pass a written stage table.
+    ``percentile`` reads ``df`` twice (limit, then filter): pass a written stage table, where
+    the limit is a literal that is pushed into the scan.
     """
     limit = outlier_limit(df, mode, value)
-    return df if limit is None else df.where(F.col(TARGET) <= limit)
+    return df if limit is None else df.where(F.col(TARGET) <= F.lit(limit))
 
 
 def parsed(raw: DataFrame, formats: Sequence[str] = ()) -> DataFrame:
@@ -169,7 +168,7 @@ def funnel(
     )
     deduped = unique if unique is not None else dated_and_unique(raw)
     limit = outlier_limit(deduped, mode, value)
-    kept = valid_hours() if limit is None else valid_hours() & (F.col(TARGET) <= limit)
+    kept = valid_hours() if limit is None else valid_hours() & (F.col(TARGET) <= F.lit(limit))
     after = deduped.agg(
         F.count(F.lit(1)).alias("dedup_unique_key"),
         F.count_if(valid_hours()).alias("target_compute"),

@@ -43,7 +43,7 @@ def _position(columns: Sequence[str]) -> Column:
     return F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("feature"))
 
 
-def value_counts(df: DataFrame, columns: Sequence[str], n_splits: int) -> DataFrame:
+def value_counts(df: DataFrame, columns: Sequence[str], n_splits: int | None) -> DataFrame:
     """``(split, feature, value, n)`` of the non-null train values."""
     per_fold = (
         melt(df, ["fold"], columns, "string")
@@ -58,7 +58,7 @@ def value_counts(df: DataFrame, columns: Sequence[str], n_splits: int) -> DataFr
     )
 
 
-def fit_modes(df: DataFrame, columns: Sequence[str], n_splits: int = N_SPLITS) -> DataFrame:
+def fit_modes(df: DataFrame, columns: Sequence[str], n_splits: int | None = N_SPLITS) -> DataFrame:
     """``(split, feature, mode)``: most frequent train value, the smallest one on ties."""
     first = Window.partitionBy("split", "feature").orderBy(F.desc("n"), F.asc("value"))
     return (
@@ -69,7 +69,7 @@ def fit_modes(df: DataFrame, columns: Sequence[str], n_splits: int = N_SPLITS) -
     )
 
 
-def fit_levels(df: DataFrame, columns: Sequence[str], n_splits: int = N_SPLITS) -> DataFrame:
+def fit_levels(df: DataFrame, columns: Sequence[str], n_splits: int | None = N_SPLITS) -> DataFrame:
     """``(split, feature, level, slot)``: train vocabulary in sorted order (numbers by value).
 
     ``slot`` is the 0-based column of the level in the encoded matrix, feature after feature.
@@ -84,7 +84,7 @@ def fit_levels(df: DataFrame, columns: Sequence[str], n_splits: int = N_SPLITS)
     )
 
 
-def fit_medians(df: DataFrame, columns: Sequence[str], n_splits: int = N_SPLITS) -> DataFrame:
+def fit_medians(df: DataFrame, columns: Sequence[str], n_splits: int | None = N_SPLITS) -> DataFrame:
     """``(split, feature, median)``: exact interpolated train median."""
     per_fold = (
         melt(df, ["fold"], columns, "double")
@@ -99,7 +99,7 @@ def fit_medians(df: DataFrame, columns: Sequence[str], n_splits: int = N_SPLITS)
 
 
 def fit_scaling(
-    df: DataFrame, columns: Sequence[str], medians: DataFrame, n_splits: int = N_SPLITS
+    df: DataFrame, columns: Sequence[str], medians: DataFrame, n_splits: int | None = N_SPLITS
 ) -> DataFrame:
     """``(split, feature, mean, scale)`` of the median-filled train values.
 
@@ -146,7 +146,7 @@ def fit_target_means(
     df: DataFrame,
     columns: Sequence[str],
     smoothing: float = SMOOTHING,
-    n_splits: int = N_SPLITS,
+    n_splits: int | None = N_SPLITS,
     y: str = "y",
 ) -> DataFrame:
     """``(split, feature, level, encoded)``: train mean of ``y`` per category, drawn towards
@@ -245,28 +245,48 @@ def one_hot(
 
 
 def target_encode(
-    df: DataFrame, means: DataFrame, columns: Sequence[str], key: str = KEY
+    df: DataFrame,
+    means: DataFrame,
+    columns: Sequence[str],
+    key: str = KEY,
+    split: int | None = None,
 ) -> DataFrame:
     """Replace categories by their smoothed train mean; unseen ones by the train mean.
 
-    Pass ``means`` as a written table.
+    Every row uses the split that leaves its fold out, or the one given. Pass ``means`` as a
+    written table.
     """
-    overall = by_split(means.where(F.col("level").isNull()), "encoded", columns, "_overall")
-    out = df.join(F.broadcast(overall), "fold", "left")  # one row per fold
     small = lookup.fits_broadcast(means)
+    if split is None:
+        means = means.withColumnRenamed("split", "fold")
+        on = ["fold", "_level"]
+        overall = by_split(
+            means.where(F.col("level").isNull()).withColumnRenamed("fold", "split"),
+            "encoded", columns, "_overall",
+        )
+        out = df.join(F.broadcast(overall), "fold", "left")  # one row per fold
+    else:
+        means = means.where(F.col("split") == split).drop("split")
+        on = ["_level"]
+        fallback = fitted_values(means.where(F.col("level").isNull()), "encoded")
+        out = df.withColumns({f"{c}_overall": F.lit(fallback[c]) for c in columns})
     for c in columns:
         known = means.where((F.col("feature") == c) & F.col("level").isNotNull()).select(
-            F.col("split").alias("fold"), F.col("level").alias("_level"),
-            F.col("encoded").alias(f"{c}_encoded"),
+            *on[:-1], F.col("level").alias("_level"), F.col("encoded").alias(f"{c}_encoded")
         )
         out = out.withColumn("_level", text.text_category(F.col(c)))
-        out = lookup.attach(out, known, ["fold", "_level"], key, small).drop("_level")
+        out = lookup.attach(out, known, on, key, small).drop("_level")
     encoded = {c: F.coalesce(F.col(f"{c}_encoded"), F.col(f"{c}_overall")) for c in columns}
     return out.withColumns(encoded).drop(
         *[f"{c}{s}" for c in columns for s in ("_encoded", "_overall")]
     )
 
 
+def fitted_values(stats: DataFrame, value: str) -> dict:
+    """Fitted values of one split by feature: one number or text per column."""
+    return {r["feature"]: r[value] for r in stats.select("feature", value).collect()}
+
+
 def cyclic_encode(df: DataFrame) -> DataFrame:
     """Replace hour and weekday by sine and cosine."""
     for column, (name, period) in CYCLES.items():

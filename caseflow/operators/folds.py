@@ -11,21 +11,20 @@ from caseflow.schema import KEY, N_SPLITS, SEED, STRAT_BINS
 EDGE_DIGITS = 9  # edges and values are compared at this precision
 
 
-def inner_edges(df: DataFrame, value: str, n_bins: int) -> Column:
-    """Edges between the bins as an array-valued scalar, without empty bins: edges equal to
-    the lowest or highest value are dropped, and so are repeats."""
+def inner_edges(df: DataFrame, value: str, n_bins: int) -> list[float]:
+    """Edges between the bins, without empty bins: edges equal to the lowest or highest value
+    are dropped, and so are repeats."""
     probs = [i / n_bins for i in range(n_bins + 1)]
-    found = quantiles.exact_quantiles(df, value, probs)
-    edges = F.sort_array(F.collect_set(F.round("quantile", EDGE_DIGITS)))
-    inside = F.filter("e", lambda v: (v > F.array_min("e")) & (v < F.array_max("e")))
-    return found.agg(edges.alias("e")).select(inside).scalar()
+    found = quantiles.quantile_values(df, value, probs)
+    edges = sorted({round(e, EDGE_DIGITS) for e in found if e is not None})
+    return edges[1:-1]
 
 
-def bin_code(value: Column, edges: Column, n_bins: int) -> Column:
+def bin_code(value: Column, edges: list[float]) -> Column:
     """Right-closed bin of ``value``: how many inner edges lie strictly below it."""
     code = F.lit(0)
-    for i in range(n_bins - 1):
-        code = code + F.coalesce((F.get(edges, F.lit(i)) < value).cast("int"), F.lit(0))
+    for edge in edges:
+        code = code + (value > F.lit(edge)).cast("int")
     return code
 
 
@@ -36,7 +35,7 @@ def quantile_bins(df: DataFrame, n_bins: int = STRAT_BINS, value: str = "y") ->
     """
     rounded = F.round(F.col(value), EDGE_DIGITS)
     edges = inner_edges(df.select(rounded.alias("_y")), "_y", n_bins)
-    return df.withColumn("y_bin", bin_code(rounded, edges, n_bins))
+    return df.withColumn("y_bin", bin_code(rounded, edges))
 
 
 def stratified_folds(
@@ -47,16 +46,8 @@ def stratified_folds(
     Every bin is spread over all folds (counts differ by at most one) and fold sizes differ
     by at most one overall.
     """
-    ranked = sampling.hash_rank(binned, key, str(seed), by=["y_bin"])
-    sizes = binned.groupBy("y_bin").agg(F.count(F.lit(1)).alias("_size"))
-    upto = F.sum("_size").over(Window.orderBy("y_bin"))  # one row per bin
-    starts = sizes.select("y_bin", (upto - F.col("_size")).alias("_start"))
-    position = F.col("_start") + F.col("_rank") - 1
-    return (
-        ranked.join(F.broadcast(starts), "y_bin")  # one row per bin
-        .withColumn("fold", (position % n_splits).cast("int"))
-        .drop("_start", "_rank")
-    )
+    dealt = sampling.hash_rank(binned, key, str(seed), after=["y_bin"])
+    return dealt.withColumn("fold", (F.col("position") % n_splits).cast("int")).drop("position")
 
 
 def fold_sizes(df: DataFrame) -> DataFrame:
@@ -76,13 +67,16 @@ def train_rows(df: DataFrame, fold: int) -> DataFrame:
     return df.where(F.col("fold") != fold)
 
 
-def other_folds(stats: DataFrame, n_splits: int) -> DataFrame:
+def other_folds(stats: DataFrame, n_splits: int | None) -> DataFrame:
     """Turn per-fold statistics into train statistics of every split.
 
     Each small row ``(fold, ...)`` is handed to all splits but its own, as ``split``; grouping
     by ``split`` then sees exactly what training on the other folds would see. The table
-    itself is aggregated once, not once per split.
+    itself is aggregated once, not once per split. Without ``n_splits`` all rows are train
+    rows of the one split 0.
     """
+    if n_splits is None:
+        return stats.withColumn("split", F.lit(0)).drop("fold")
     splits = F.array(*[F.lit(i) for i in range(n_splits)])
     others = F.filter(splits, lambda i: i != F.col("fold"))
     return stats.withColumn("split", F.explode(others)).drop("fold")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -96,23 +97,29 @@ def feature_names(
     return first.select((F.row_number().over(order) - 1).alias("position"), "name")
 
 
-def _range(df: DataFrame, columns: Sequence[str]) -> Column:
-    """Lowest and highest value over the columns as ``struct(lo, hi)``; a single point is
-    widened by one half on each side."""
-    lows = [F.min(c) for c in columns]
-    highs = [F.max(c) for c in columns]
-    lo = F.least(*lows) if len(lows) > 1 else lows[0]
-    hi = F.greatest(*highs) if len(highs) > 1 else highs[0]
-    bounds = df.agg(lo.alias("lo"), hi.alias("hi"))
-    half = F.when(F.col("lo") == F.col("hi"), F.lit(0.5)).otherwise(F.lit(0.0))
-    return bounds.select(
-        F.struct((F.col("lo") - half).alias("lo"), (F.col("hi") + half).alias("hi"))
-    ).scalar()
+class Span(NamedTuple):
+    lo: float
+    hi: float
 
 
-def bin_of(value: Column, span: Column, bins: int) -> Column:
+def value_range(df: DataFrame, columns: Sequence[str]) -> Span | None:
+    """Lowest and highest value over the columns; a single point is widened by one half on
+    each side. ``None`` without any value."""
+    ends = [F.min(c).alias(f"{c}_lo") for c in columns] + [
+        F.max(c).alias(f"{c}_hi") for c in columns
+    ]
+    found = [v for v in df.agg(*ends).first() if v is not None]
+    if not found:
+        return None
+    lo, hi = min(found), max(found)
+    return Span(lo, hi) if lo < hi else Span(lo - 0.5, hi + 0.5)
+
+
+def bin_of(value: Column, span: Span | None, bins: int) -> Column:
     """Equal-width bin 0 .. bins-1; the highest value belongs to the last bin."""
-    share = (value - span["lo"]) / (span["hi"] - span["lo"])
+    if span is None:
+        return F.lit(None).cast("int")
+    share = (value - F.lit(span.lo)) / F.lit(span.hi - span.lo)
     return F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
 
 
@@ -122,16 +129,17 @@ def histogram(df: DataFrame, value: Column, bins: int = BINS) -> DataFrame:
     One pass for the range, one for the counts; the counts are combined on the map side.
     """
     values = df.select(F.round(value, DIGITS).alias("v")).where(F.col("v").isNotNull())
-    span = _range(values, ["v"])
+    span = value_range(values, ["v"])
     counts = values.groupBy(bin_of(F.col("v"), span, bins).alias("bin")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    width = (span["hi"] - span["lo"]) / bins
+    lo, width = (span.lo, (span.hi - span.lo) / bins) if span else (None, None)
+    lower, step = F.lit(lo).cast("double"), F.lit(width).cast("double")
     every_bin = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return every_bin.join(counts, "bin", "left").select(
         "bin",
-        (span["lo"] + F.col("bin") * width).alias("lower"),
-        (span["lo"] + (F.col("bin") + 1) * width).alias("upper"),
+        (lower + F.col("bin") * step).alias("lower"),
+        (lower + (F.col("bin") + 1) * step).alias("upper"),
         F.coalesce("n", F.lit(0)).cast("long").alias("n"),
     )
 
@@ -143,8 +151,8 @@ def target_hist(df: DataFrame, y: str = "y") -> DataFrame:
 def hours_hist_clipped(df: DataFrame, y: str = "y", share: float = CLIP_SHARE) -> DataFrame:
     """Histogram of hours (log scale undone), clipped to [0, exact quantile]."""
     hours = df.select(F.round(F.expm1(F.col(y)), DIGITS).alias("h"))
-    top = quantiles.exact_quantiles(hours, "h", [share]).select("quantile").scalar()
-    return histogram(hours, F.least(F.greatest(F.col("h"), F.lit(0.0)), top))
+    top = quantiles.quantile_values(hours, "h", [share])[0]
+    return histogram(hours, F.least(F.greatest(F.col("h"), F.lit(0.0)), F.lit(top)))
 
 
 def residual_hist(preds: DataFrame) -> DataFrame:
@@ -156,14 +164,14 @@ def pred_vs_true_grid(preds: DataFrame, bins: int = BINS) -> DataFrame:
     pairs = preds.select(
         F.round("y_true", DIGITS).alias("t"), F.round("y_pred", DIGITS).alias("p")
     )
-    span = _range(pairs, ["t", "p"])
+    span = value_range(pairs, ["t", "p"])
     return (
         pairs.groupBy(
             bin_of(F.col("t"), span, bins).alias("true_bin"),
             bin_of(F.col("p"), span, bins).alias("pred_bin"),
         )
         .agg(F.count(F.lit(1)).alias("n"))
-        .select("true_bin", "pred_bin", "n", span["lo"].alias("lo"), span["hi"].alias("hi"))
+        .select("true_bin", "pred_bin", "n", F.lit(span.lo).alias("lo"), F.lit(span.hi).alias("hi"))
     )
 
 
@@ -173,7 +181,7 @@ def abs_error_by_target(preds: DataFrame, bins: int = BINS) -> DataFrame:
         F.round("y_true", DIGITS).alias("t"),
         F.abs(F.col("y_pred") - F.col("y_true")).alias("e"),
     )
-    span = _range(rows, ["t"])
+    span = value_range(rows, ["t"])
     return rows.groupBy(bin_of(F.col("t"), span, bins).alias("bin")).agg(
         F.count(F.lit(1)).alias("n"), F.avg("e").alias("mean_abs_error"),
         F.max("e").alias("max_abs_error"),

@@ -52,10 +52,11 @@ def exact_quantiles(
         .withColumn("_total", F.sum("_n").over(everything))
     )
     before = F.col("_upto") - F.col("_n")
-    wanted = []
+    wanted, inside = [], F.lit(False)
     for prob in probs:
         position = F.lit(float(prob)) * (F.col("_total") - 1)
         for side, rank in (("low", F.floor(position)), ("high", F.ceil(position))):
+            inside = inside | ((rank >= before) & (rank < F.col("_upto")))
             wanted.append(
                 F.struct(
                     F.lit(float(prob)).alias("prob"),
@@ -65,14 +66,14 @@ def exact_quantiles(
                 )
             )
     targets = (
-        cells.withColumn(
+        cells.where(inside)
+        .withColumn(
             "_targets",
             F.filter(
                 F.array(*wanted),
                 lambda t: (t["rank"] >= before) & (t["rank"] < F.col("_upto")),
             ),
         )
-        .where(F.size("_targets") > 0)
         .select(*by, "_cell", before.alias("_before"), "_targets")
     )
 
@@ -92,3 +93,9 @@ def exact_quantiles(
         (low + (high - low) * F.max("_t.share")).alias("quantile")
     )
 
+
+def quantile_values(df: DataFrame, value: str, probs: Sequence[float]) -> list[float | None]:
+    """Quantiles of one column as plain numbers, one per probability: a job that returns
+    ``len(probs)`` rows. As literals they can be pushed into later scans."""
+    found = {r["prob"]: r["quantile"] for r in exact_quantiles(df, value, probs).collect()}
+    return [found.get(float(p)) for p in probs]

@@ -1,8 +1,8 @@
 """Seeded order, samples and hold-outs by the md5 of the key.
 
 The order is the same on every run and every cluster size. Ranks are two-level: counts per
-hash prefix (at most 65,536 per group) give each prefix its offset, and only rows of one
-prefix are ordered against each other, so no task ever sorts a whole group.
+hash prefix give each prefix its offset, and only rows of one prefix are ordered against each
+other, so no task ever sorts a whole group. The number of prefixes follows the row count.
 """
 
 from __future__ import annotations
@@ -13,31 +13,46 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PREFIX_DIGITS = 4  # hexadecimal digits: 65,536 prefixes
+ROWS_PER_PREFIX = 100_000
+MOST_DIGITS = 5
 
 
 def key_hash(key: str, label: str) -> Column:
     return F.md5(F.concat(F.lit(f"{label}:"), F.col(key)))
 
 
-def _prefix() -> Column:
-    return F.substring("_hash", 1, PREFIX_DIGITS)
+def _prefix(digits: int = PREFIX_DIGITS) -> Column:
+    return F.substring("_hash", 1, digits)
 
 
-def hash_rank(df: DataFrame, key: str, label: str, by: Sequence[str] = ()) -> DataFrame:
-    """Add ``_rank``: 1-based position by hash within each ``by`` group.
+def prefix_digits(rows: int) -> int:
+    """Digits that leave about ``ROWS_PER_PREFIX`` rows to order within one prefix."""
+    digits = 1
+    while digits < MOST_DIGITS and rows > ROWS_PER_PREFIX * 16**digits:
+        digits += 1
+    return digits
 
-    Rows are shuffled once, by (group, prefix); the offsets join on the same keys.
+
+def hash_rank(
+    df: DataFrame, key: str, label: str, after: Sequence[str] = (), name: str = "position"
+) -> DataFrame:
+    """Add the 0-based position of each row in the order (``after``..., hash).
+
+    ``after`` must be a bounded grouping. Rows are shuffled once, by (group, prefix); the
+    offsets are running sums over the counts per (group, prefix) and join on the same keys.
+    ``df`` is counted and read twice: pass a written stage table.
     """
-    by = list(by)
-    hashed = df.withColumn("_hash", key_hash(key, label)).withColumn("_prefix", _prefix())
-    sizes = hashed.groupBy(*by, "_prefix").agg(F.count(F.lit(1)).alias("_size"))
-    upto = F.sum("_size").over(Window.partitionBy(*by).orderBy("_prefix"))
-    offsets = sizes.select(*by, "_prefix", (upto - F.col("_size")).alias("_offset"))
-    local = Window.partitionBy(*by, "_prefix").orderBy("_hash", key)
+    cell = [*after, "_prefix"]
+    digits = prefix_digits(df.count())
+    hashed = df.withColumn("_hash", key_hash(key, label)).withColumn("_prefix", _prefix(digits))
+    sizes = hashed.groupBy(*cell).agg(F.count(F.lit(1)).alias("_size"))
+    upto = F.sum("_size").over(Window.orderBy(*cell))  # counts only, not rows
+    offsets = sizes.select(*cell, (upto - F.col("_size")).alias("_offset"))
+    local = Window.partitionBy(*cell).orderBy("_hash", key)
     return (
         hashed.withColumn("_local", F.row_number().over(local))
-        .join(offsets, [*by, "_prefix"])
-        .withColumn("_rank", F.col("_local") + F.col("_offset"))
+        .join(offsets, cell)
+        .withColumn(name, F.col("_local") + F.col("_offset") - 1)
         .drop("_hash", "_prefix", "_local", "_offset")
     )
 

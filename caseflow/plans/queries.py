@@ -394,3 +394,46 @@ def borough_mean_target(s: Stages) -> DataFrame:
     return profile.mean_target_by(s.bundle(), "borough")
 
 
+
+
+# ---- models -------------------------------------------------------------------------------
+
+@query
+def rf_oof(s: Stages) -> DataFrame:
+    preds = s.forest_predictions()
+    params = list(evaluate.FOREST_GRID)
+    summary = evaluate.summarise(evaluate.fold_results(preds, params), params)
+    return evaluate.best_predictions(preds, evaluate.best_config(summary))
+
+
+@query
+def boost_oof(s: Stages) -> DataFrame:
+    return s.boosted_predictions()
+
+
+@query
+def mlp_oof(s: Stages) -> DataFrame:
+    return s.mlp_predictions()
+
+
+@query
+def resnet_oof(s: Stages) -> DataFrame:
+    return s.residual_predictions()
+
+
+@query
+def cv_grid(s: Stages) -> DataFrame:
+    return profile.results_from(s.forest_predictions(), list(evaluate.FOREST_GRID))
+
+
+@query
+def model_compare(s: Stages) -> DataFrame:
+    """Every model on the same folds, each with its best configuration."""
+    columns = [*evaluate.RUN, KEY, "fold", "y_true", "y_pred"]
+    preds = s.predictions().select(*columns)
+    for other in (
+        s.forest_predictions(), s.boosted_predictions(), s.mlp_predictions(),
+        s.residual_predictions(),
+    ):
+        preds = preds.unionByName(other.select(*columns))
+    return evaluate.compare_models(evaluate.summarise(evaluate.fold_results(preds)))

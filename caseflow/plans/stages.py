@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseflow import fixtures
+from caseflow.models import crossval
+from caseflow.models.design import Fitted
 from caseflow.operators import clean, encode, evaluate, features, folds
 from caseflow.plans import pipeline
-from caseflow.schema import RAW_COLUMNS
+from caseflow.schema import N_SPLITS, RAW_COLUMNS
 from caseflow.session import materialise, new_path, use_utc
 from caseflow.sources import snapshots
 
@@ -157,8 +159,49 @@ class Stages:
             self.predictions(), evaluate.best_config(self.summary())
         )
 
-    def model_predictions(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        return self._once(f"preds_{name}", lambda: materialise(make(), f"preds_{name}"))
+    def fitted(self) -> Fitted:
+        return Fitted(self.modes(), self.levels(), self.medians(), self.scaling())
+
+    def forest_predictions(self) -> DataFrame:
+        """A small forest grid over all folds; full grids are calls of the library."""
+        configs = evaluate.grid_configs(
+            crossval.FOREST,
+            {"n_estimators": [3, 6], "max_depth": [4], "min_samples_leaf": [1, 5]},
+        )
+        return self._once(
+            "forest_predictions",
+            lambda: crossval.forest_grid(
+                self.bundle(), self.fitted(), *self.columns(), configs, TAG, N_SPLITS
+            ),
+        )
+
+    def boosted_predictions(self) -> DataFrame:
+        return self._once(
+            "boosted_predictions",
+            lambda: crossval.boosted_run(self.bundle(), TAG, N_SPLITS, rounds=3),
+        )
+
+    def _net_predictions(self, model: str, config: dict) -> DataFrame:
+        return self._once(
+            f"{model}_predictions",
+            lambda: crossval.net_grid(
+                self.bundle(), self.fitted(), *self.columns(), model,
+                evaluate.grid_configs(model, config), TAG, N_SPLITS, epochs=2, workers=2,
+            ),
+        )
+
+    def mlp_predictions(self) -> DataFrame:
+        return self._net_predictions(
+            crossval.MLP,
+            {"hidden_size": [32], "learning_rate": [1e-3], "dropout": [0.2], "batch_size": [512]},
+        )
+
+    def residual_predictions(self) -> DataFrame:
+        return self._net_predictions(
+            crossval.RESIDUAL,
+            {"hidden_size": [32], "n_blocks": [2], "learning_rate": [1e-3], "dropout": [0.1],
+             "batch_size": [512]},
+        )
 
 
 RAW_WITH_ARRIVAL = [*RAW_COLUMNS, "arrival"]
