@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers as vocabularies
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, tokencount
+from . import bpe, decontaminate, language, simhash, tokencount
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,31 @@ def op1_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _held_out(doc_id: Column) -> Column:
+    """The documents that no language model learns from."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
+
+
+def language_model(docs: DataFrame) -> language.Model:
+    """A model learned from the texts and languages of the documents that are not held out."""
+    taught = docs.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2).select("doc_id", "text", "lang")
+    return language.train(taught, "text", "lang", F.col("doc_id"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by a model that has not seen the held-out quarter."""
+    docs = _documents(spark, sf_dir)
+    found = language.identify(docs.select("doc_id", "text"), language_model(docs))
+    return found.select("doc_id", _held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = simhash.near_duplicates(_documents(spark, sf_dir).select("doc_id", "text"))
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every whole text."""
     docs = _documents(spark, sf_dir).select("doc_id", "text")
@@ -36,9 +61,20 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in every document, exact or edited."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    items = F.array_sort(F.col("matches.item_id"))
+    return found.select("doc_id", (F.size("matches") > 0).alias("contaminated"), F.size("matches").cast("long").alias("n_items"), items.alias("item_ids"), F.array_min("matches.edits").alias("least_edits"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_codec": op1_bpe_codec,
+    "op2_language_id": op2_language_id,
+    "op4_simhash": op4_simhash,
     "op9_token_counts": op9_token_counts,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE: dict[str, str] = {}
