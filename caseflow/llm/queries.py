@@ -8,7 +8,7 @@ import public_tokenizers as vocabularies
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, simhash, tokencount
+from . import bpe, decontaminate, divergence, language, simhash, tokencount
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,14 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op8_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document and whether its distributions fit a language's references."""
+    docs = _documents(spark, sf_dir)
+    judged = divergence.judge(docs.select("doc_id", "text"), divergence.references(docs))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("doc_id", *counts, "base_failed", "kept", "class_distance", "word_distance")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every whole text."""
     docs = _documents(spark, sf_dir).select("doc_id", "text")
@@ -73,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_codec": op1_bpe_codec,
     "op2_language_id": op2_language_id,
     "op4_simhash": op4_simhash,
+    "op8_divergence": op8_divergence,
     "op9_token_counts": op9_token_counts,
     "op10_decontaminate": op10_decontaminate,
 }
