@@ -8,7 +8,7 @@ import public_tokenizers as vocabularies
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, divergence, language, simhash, tokencount
+from . import bpe, decontaminate, divergence, language, secrets, simhash, tokencount
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,24 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def _listed(spans: Column) -> Column:
+    """kind:start:end of each span, in the order given, joined by commas."""
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+
+def _count_of(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: counts and digest of the base rules, and all spans."""
+    found = secrets.scan(_documents(spark, sf_dir).select("doc_id", "text"))
+    kinds = [r.kind for r in secrets.RULES if r.base]
+    base = F.filter("secrets", lambda x: x["kind"].isin(kinds))
+    counts = [_count_of("secrets", k) for k in kinds]
+    return found.select("doc_id", *counts, F.sha2(_listed(base).cast("binary"), 256).alias("base_sha256"), _listed(F.col("secrets")).alias("spans"))
+
+
 def op8_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document and whether its distributions fit a language's references."""
     docs = _documents(spark, sf_dir)
@@ -81,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_codec": op1_bpe_codec,
     "op2_language_id": op2_language_id,
     "op4_simhash": op4_simhash,
+    "op7_secrets": op7_secrets,
     "op8_divergence": op8_divergence,
     "op9_token_counts": op9_token_counts,
     "op10_decontaminate": op10_decontaminate,
