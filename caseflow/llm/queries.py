@@ -8,7 +8,7 @@ import public_tokenizers as vocabularies
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, divergence, language, secrets, simhash, tokencount
+from . import bpe, decontaminate, divergence, language, pii, secrets, simhash, tokencount
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,16 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the strict spans, and all spans."""
+    found = pii.redactions(_documents(spark, sf_dir).select("doc_id", "text"))
+    names = F.array(*map(F.lit, pii.KINDS))
+    named = {c: F.transform(c, lambda x: F.struct(F.get(names, x["kind"]).alias("kind"), x["start"], x["end"])) for c in ("base", "spans")}
+    made = found.withColumns(named)
+    counts = [_count_of("base", k) for k in pii.KINDS]
+    return made.select("row.doc_id", *counts, F.sha2(_listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
+
+
 def _listed(spans: Column) -> Column:
     """kind:start:end of each span, in the order given, joined by commas."""
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
@@ -99,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_codec": op1_bpe_codec,
     "op2_language_id": op2_language_id,
     "op4_simhash": op4_simhash,
+    "op5_pii": op5_pii,
     "op7_secrets": op7_secrets,
     "op8_divergence": op8_divergence,
     "op9_token_counts": op9_token_counts,
