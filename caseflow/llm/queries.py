@@ -8,7 +8,7 @@ import public_tokenizers as vocabularies
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, divergence, language, pii, secrets, simhash, tokencount
+from . import bpe, decontaminate, divergence, language, lines, pii, secrets, simhash, tokencount
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +69,16 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every document the numbers of the lines that go: equal to, or one word from, an earlier line."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    gone = lines.removed_lines(docs)
+    rows = docs.select("doc_id", F.xxhash64("text").alias("hash"), F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long").alias("n_lines"))
+    met = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("text_hash")), "left")
+    removed = F.coalesce("lines", F.array().cast("array<int>"))
+    return met.select("doc_id", "n_lines", F.size(removed).cast("long").alias("n_removed"), removed.alias("removed"))
+
+
 def _count_of(spans: str, kind: str) -> Column:
     return F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
@@ -110,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op4_simhash": op4_simhash,
     "op5_pii": op5_pii,
+    "op6_line_dedup": op6_line_dedup,
     "op7_secrets": op7_secrets,
     "op8_divergence": op8_divergence,
     "op9_token_counts": op9_token_counts,
