@@ -25,45 +25,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from .shared import BoundedCache, held
+from .rolling import INVERSE, mixed, powers, prefix_sums, word_hashes
+from .shared import held
 
 #: Fewest words of a line that is compared at all, and of one that an edited line can match.
 LEAST, NEAR = 3, 8
-BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 1 << 64)
-ITSELF = -1
-
-_HASHES: list[BoundedCache] = []
-_POWERS: list[np.ndarray] = []
-
-
-def _word_hashes(words: list[str]) -> np.ndarray:
-    if not _HASHES:
-        from xxhash import xxh64_intdigest
-
-        _HASHES.append(BoundedCache(xxh64_intdigest))
-    return np.fromiter(map(_HASHES[0].__getitem__, words), np.uint64, len(words))
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n of the base and of its inverse, modulo 2**64."""
-    if not _POWERS or len(_POWERS[0]) <= n:
-        size = max(1024, 2 * n) + 1
-        _POWERS[:] = [np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size - 1, b, np.uint64))), dtype=np.uint64) for b in (BASE, INVERSE)]
-    return _POWERS[0], _POWERS[1]
-
-
-def _mixed(x: np.ndarray, salt: np.ndarray | int) -> np.ndarray:
-    x = (x + np.asarray(salt, np.uint64) * np.uint64(0xD6E8FEB86659FD93)).astype(np.uint64)
-    for _ in range(2):
-        x = (x ^ x >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ x >> np.uint64(32)
-
-
-def _sums(hashes: np.ndarray) -> np.ndarray:
-    """Prefix sums of the words' hashes times powers of the base: the start of every range hash."""
-    power, _ = _powers(len(hashes))
-    return np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * power[: len(hashes)], dtype=np.uint64)))
 
 
 def _halves(n: np.ndarray | int):
@@ -89,13 +55,13 @@ def marks_of(text: str | None, least: int, near: int) -> tuple:
     whole = np.frombuffer(digest, np.int64).reshape(-1, 2)
     keys = np.zeros((len(split), 4), np.uint64)
     if (n >= near).any():
-        sums = _sums(_word_hashes([x for _, w in split for x in w]))
-        _, inverse = _powers(len(sums))
+        sums = prefix_sums(word_hashes([x for _, w in split for x in w]))
+        _, inverse = powers(len(sums))
         ends = np.cumsum(n)
         starts = ends - n
         for k, (m, before, after) in enumerate(_halves(n)):
-            keys[:, 2 * k] = _mixed((sums[starts + before] - sums[starts]) * inverse[starts], 2 * m)
-            keys[:, 2 * k + 1] = _mixed((sums[ends] - sums[ends - after]) * inverse[ends - after], 2 * m + 1)
+            keys[:, 2 * k] = mixed((sums[starts + before] - sums[starts]) * inverse[starts], 2 * m)
+            keys[:, 2 * k + 1] = mixed((sums[ends] - sums[ends - after]) * inverse[ends - after], 2 * m + 1)
         keys = np.where((n >= near)[:, None], keys >> np.uint64(33) | np.uint64(1 << 31), 0).astype(np.uint64)
     packed = (keys[:, 0::2] << np.uint64(32) | keys[:, 1::2]).astype(np.int64)
     return at, n.astype(np.int32), whole[:, 0], whole[:, 1], packed[:, 0], packed[:, 1]
@@ -126,14 +92,14 @@ def variants_of(words: np.ndarray, before: bool, after: bool) -> tuple[np.ndarra
     without (it equals the own key of a line that lacks the word).
     """
     n = len(words)
-    power, inverse = _powers(n + 1)
-    sums = _sums(words)
+    power, inverse = powers(n + 1)
+    sums = prefix_sums(words)
     middle = (n - 1) // 2
     p = np.arange(0 if before else middle, n if after else middle + 1)
     left = sums[p] + (sums[n] - sums[p + 1]) * np.uint64(INVERSE)
-    same = _mixed(_mixed(left, n), p + 2)
-    shorter = _mixed(left, n - 1)
-    own = _mixed(sums[n:], n)
+    same = mixed(mixed(left, n), p + 2)
+    shorter = mixed(left, n - 1)
+    own = mixed(sums[n:], n)
     keys = np.concatenate((same, shorter, own)).astype(np.int64)
     itself = np.zeros(len(keys), bool)
     itself[-1] = True
@@ -158,7 +124,7 @@ def words_at(texts: pa.Array, lines: pa.Array) -> pa.Array:
     out = []
     for text, at in zip(texts.to_pylist(), lines.to_pylist(), strict=True):
         split = text_lines(text)
-        out.append([_word_hashes(line_words(split[i])).view(np.int64) for i in at])
+        out.append([word_hashes(line_words(split[i])).view(np.int64) for i in at])
     return pa.array(out, pa.list_(pa.list_(pa.int64())))
 
 

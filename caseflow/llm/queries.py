@@ -8,7 +8,7 @@ import public_tokenizers as vocabularies
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, divergence, language, lines, pii, secrets, simhash, tokencount
+from . import bpe, decontaminate, divergence, language, lines, pii, secrets, simhash, tokencount, windows
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +47,13 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", _held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document by passages of fifty words or more that it shares, and those passages."""
+    found = windows.repeated_passages(_documents(spark, sf_dir).select("doc_id", "text"))
+    listed = F.array_join(F.transform("passages", lambda x: F.concat_ws(":", x["start"], x["end"])), ",")
+    return found.select("doc_id", "class_id", "n_links", F.size("passages").cast("long").alias("n_passages"), listed.alias("passages"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(_documents(spark, sf_dir).select("doc_id", "text"))
@@ -118,6 +125,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_codec": op1_bpe_codec,
     "op2_language_id": op2_language_id,
+    "op3_passages": op3_passages,
     "op4_simhash": op4_simhash,
     "op5_pii": op5_pii,
     "op6_line_dedup": op6_line_dedup,
