@@ -15,19 +15,12 @@ from caseflow.schema import RAW_COLUMNS
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
 
-def dealt_out(df: DataFrame) -> DataFrame:
-    """A test table of fewer row groups than cores is dealt out over the cores; a table that
-    fills them by itself is left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
     joined = (
-        dealt_out(table("lineitem"))
+        table("lineitem")
         .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))

@@ -87,9 +87,11 @@ def fit(
         ).fit(subset.transform(residuals))
         booster.trees.append((columns, tree))
         scored = _add_tree(state, columns, tree, F.col("so_far"), rate, "so_far")
-        if turn % CHECKPOINT_ROUNDS == 0:
-            scored = scored.checkpoint()
         scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+        if turn % CHECKPOINT_ROUNDS == 0:
+            kept, scored = scored, scored.checkpoint().persist(StorageLevel.MEMORY_AND_DISK)
+            scored.count()
+            kept.unpersist()
         error = F.abs(F.col("y") - F.col("so_far"))
         found = scored.agg(
             F.avg(F.when(train, error)).alias("train"),

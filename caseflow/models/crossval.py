@@ -14,19 +14,17 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseflow.models import boosting, forest, nets
+from caseflow.models import boosting, forest
 from caseflow.models.design import Fitted, boosting_table, split_design
-from caseflow.operators import folds, sampling
+from caseflow.operators import folds
 from caseflow.operators.evaluate import RUN
-from caseflow.schema import KEY, SEED
+from caseflow.schema import KEY
 from caseflow.session import materialise
 
 CONCURRENT_FITS = 4
 
 FOREST = "random_forest_regressor"
 BOOSTED = "boosted_trees_regressor"
-MLP = "mlp_regressor"
-RESIDUAL = "resnet_regressor"
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -97,49 +95,3 @@ def boosted_run(
         return materialise(scored, f"boost_preds_{split}")
 
     return _union(_each([lambda i=i: run(i) for i in range(n_splits)], concurrent))
-
-
-def net_grid(
-    bundle: DataFrame,
-    fitted: Fitted,
-    categorical: Sequence[str],
-    numeric: Sequence[str],
-    model: str,
-    configs: Sequence[dict],
-    tag: str,
-    n_splits: int,
-    epochs: int = nets.EPOCHS,
-    workers: int | None = None,
-    concurrent: int = CONCURRENT_FITS,
-) -> DataFrame:
-    """Out-of-fold predictions of a network; a tenth of the train rows decides when to stop."""
-
-    def run(split: int) -> DataFrame:
-        design = split_design(fitted, split, categorical, numeric)
-        marked = sampling.mark_holdout(
-            folds.train_rows(bundle, split), nets.HOLDOUT, KEY, SEED, "validate"
-        )
-        rows = marked.unionByName(folds.test_rows(bundle, split), allowMissingColumns=True)
-        encoded = materialise(
-            design.slots(rows, [KEY, "fold", "y", "validate"]), f"net_{split}",
-            partition_by=["fold"],
-        )
-        train, test = folds.train_rows(encoded, split), folds.test_rows(encoded, split)
-        scored = []
-        for config in configs:
-            shape = nets.Shape(
-                design.width, config["hidden_size"], config["dropout"], config.get("n_blocks", 0)
-            )
-            trained = nets.fit(
-                train.where(~F.col("validate")), train.where(F.col("validate")), shape, config,
-                epochs=epochs, workers=workers,
-            )
-            preds = nets.score(test, trained.state, [KEY, "fold", "y"]).withColumnRenamed(
-                "y", "y_true"
-            )
-            scored.append(
-                _tagged(preds, model, tag, {**config, "best_epoch": trained.best_epoch})
-            )
-        return materialise(_union(scored), f"net_preds_{split}")
-
-    return _union(_each([lambda i=i: run(i) for i in range(n_splits)], concurrent))

@@ -13,6 +13,8 @@ from caseflow.operators import encode, folds, sampling
 from caseflow.schema import KEY, NUMERIC, SEED
 from caseflow.session import materialise
 
+MOST_LEVELS = 100_000
+
 
 @dataclass(frozen=True)
 class Fitted:
@@ -67,20 +69,13 @@ class Design:
         assembler = VectorAssembler(inputCols=hots + self.numeric, outputCol="features")
         return assembler.transform(encoded).select(*keep, "features")
 
-    def slots(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        """``(keep..., slots, numbers)``: position of each category's one (-1 if unseen) and
-        the scaled numbers, the compact form the networks read."""
-        indexed = self._filled(df)
-        places, offset = [], 0
-        for c, labels in zip(self.categorical, self.labels, strict=True):
-            index = F.col(f"{c}_index").cast("int")
-            places.append(F.when(index < len(labels), index + offset).otherwise(F.lit(-1)))
-            offset += len(labels)
-        return indexed.select(
-            *keep,
-            F.array(*places).alias("slots"),
-            F.array(*[F.col(c).cast("float") for c in self.numeric]).alias("numbers"),
-        )
+
+def bounded(levels: DataFrame, limit: int = MOST_LEVELS) -> DataFrame:
+    """The levels of one split; they become the model's columns, so too many are an error."""
+    found = levels.count()
+    if found > limit:
+        raise ValueError(f"{found} category levels; at most {limit} can be encoded one by one")
+    return levels
 
 
 def split_design(
@@ -90,7 +85,7 @@ def split_design(
         return stats.where(F.col("split") == split)
 
     labels: dict[str, list[str]] = {c: [] for c in categorical}
-    vocabulary = of_split(fitted.levels).select("feature", "level", "slot")
+    vocabulary = bounded(of_split(fitted.levels).select("feature", "level", "slot"))
     for row in sorted(vocabulary.collect(), key=lambda r: r["slot"]):
         labels[row["feature"]].append(row["level"])
     return Design(
@@ -122,7 +117,7 @@ def boosting_table(bundle: DataFrame, split: int, holdout: float = 0.2) -> DataF
         f"boost_means_{split}",
     )
     encoded = encode.target_encode(table, means, encode.TARGET_ENCODED, split=0)
-    levels = encode.fit_levels(train, encode.DUMMIES, n_splits=None).orderBy("slot").collect()
+    levels = bounded(encode.fit_levels(train, encode.DUMMIES, n_splits=None)).orderBy("slot").collect()
     dummies = {
         f"{r['feature']}_{i}": F.coalesce(
             (F.col(r["feature"]).cast("string") == r["level"]).cast("double"), F.lit(0.0)

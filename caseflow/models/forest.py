@@ -8,16 +8,18 @@ from pyspark.sql import functions as F
 
 from caseflow.schema import SEED
 
-DEEPEST = 30  # the deepest tree the engine grows; deeper settings are grown to this depth
+DEEPEST = 30  # the deepest tree the engine grows
 
 
 def fit(encoded_train: DataFrame, config: dict) -> RandomForestRegressionModel:
     """All features at every split, bootstrap rows, fixed seed."""
     depth = config["max_depth"]
+    if depth is None or depth > DEEPEST:
+        raise ValueError(f"trees of depth {depth} are asked for; {DEEPEST} is the deepest")
     forest = RandomForestRegressor(
         featuresCol="features", labelCol="y", predictionCol="y_pred",
         numTrees=config["n_estimators"],
-        maxDepth=DEEPEST if depth is None else min(depth, DEEPEST),
+        maxDepth=depth,
         minInstancesPerNode=config["min_samples_leaf"],
         featureSubsetStrategy="all", maxBins=64, maxMemoryInMB=512, cacheNodeIds=True,
         checkpointInterval=10, seed=SEED,

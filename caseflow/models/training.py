@@ -26,25 +26,3 @@ class EarlyStop:
     @property
     def done(self) -> bool:
         return self.flat >= self.patience
-
-
-@dataclass
-class Plateau:
-    """Multiplies the learning rate by ``factor`` once more than ``patience`` rounds in a row
-    bring no relative gain above ``threshold``."""
-
-    rate: float
-    patience: int = 5
-    factor: float = 0.5
-    threshold: float = 1e-4
-    best_loss: float = field(default=float("inf"))
-    flat: int = 0
-
-    def step(self, loss: float) -> float:
-        if loss < self.best_loss * (1 - self.threshold):
-            self.best_loss, self.flat = loss, 0
-        else:
-            self.flat += 1
-            if self.flat > self.patience:
-                self.rate, self.flat = self.rate * self.factor, 0
-        return self.rate

@@ -58,8 +58,10 @@ def keep_ordered(df: DataFrame) -> DataFrame:
 
 
 def arrival_order(df: DataFrame) -> list[Column]:
-    """Latest delivery first: close date, create date, then the arrival mark if there is one."""
+    """Latest delivery first: close date, create date, the arrival mark if there is one, then
+    all other columns by name, so that the order is total up to rows that are equal."""
     marks = [c for c in (CLOSED, CREATED, "arrival") if c in df.columns]
+    marks += sorted(c for c in df.columns if c not in marks)
     return [F.col(c).desc_nulls_last() for c in marks]
 
 
@@ -131,17 +133,16 @@ def parsed(raw: DataFrame, formats: Sequence[str] = ()) -> DataFrame:
     return raw.transform(blanks_to_null).transform(parse_dates, (CREATED, CLOSED), formats)
 
 
+def last_ordered(raw: DataFrame, formats: Sequence[str] = ()) -> DataFrame:
+    """The latest row of each key among those with both dates in order, with hours."""
+    ordered = parsed(raw, formats).transform(keep_dated).transform(keep_ordered)
+    return ordered.transform(keep_last).transform(with_hours)
+
+
 def dated_and_unique(raw: DataFrame, formats: Sequence[str] = ()) -> DataFrame:
     """All steps before the outlier cut. The date filters come before the dedup: an older
     valid delivery survives when a newer one is invalid."""
-    return (
-        parsed(raw, formats)
-        .transform(keep_dated)
-        .transform(keep_ordered)
-        .transform(keep_last)
-        .transform(with_hours)
-        .transform(keep_valid_target)
-    )
+    return last_ordered(raw, formats).transform(keep_valid_target)
 
 
 FUNNEL_STAGES = [
@@ -155,19 +156,21 @@ def funnel(
     unique: DataFrame | None = None,
     mode: str = "percentile",
     value: float | None = None,
+    formats: Sequence[str] = (),
 ) -> DataFrame:
     """Rows left after each stage, as ``(step, stage, n_rows)``.
 
     The stages before the dedup are conditional counts over one scan; the later ones count
-    the deduplicated rows (``unique``, if already written, saves deriving them again).
+    the deduplicated rows (``unique``, if already written by ``last_ordered``, saves deriving
+    them again). ``formats`` are those the rows were cleaned with.
     """
-    before = parsed(raw).agg(
+    before = parsed(raw, formats).agg(
         F.count(F.lit(1)).alias("raw"),
         F.count_if(has_both_dates()).alias("required_dates"),
         F.count_if(has_both_dates() & in_order()).alias("time_sanity"),
     )
-    deduped = unique if unique is not None else dated_and_unique(raw)
-    limit = outlier_limit(deduped, mode, value)
+    deduped = unique if unique is not None else last_ordered(raw, formats)
+    limit = outlier_limit(keep_valid_target(deduped), mode, value)
     kept = valid_hours() if limit is None else valid_hours() & (F.col(TARGET) <= F.lit(limit))
     after = deduped.agg(
         F.count(F.lit(1)).alias("dedup_unique_key"),

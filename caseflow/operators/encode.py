@@ -77,10 +77,15 @@ def fit_levels(df: DataFrame, columns: Sequence[str], n_splits: int | None = N_S
     """
     numbers = [c for c, kind in df.dtypes if kind != "string"]
     by_value = F.when(F.col("feature").isin(numbers), F.col("value").try_cast("double"))
-    order = Window.partitionBy("split").orderBy(_position(columns), by_value, "value")
-    return value_counts(df, columns, n_splits).select(
+    counts = value_counts(df, columns, n_splits)
+    sizes = counts.groupBy("split", "feature").agg(F.count(F.lit(1)).alias("_size"))
+    upto = Window.partitionBy("split").orderBy(_position(columns))  # one row per feature
+    offsets = sizes.withColumn("_offset", F.sum("_size").over(upto) - F.col("_size"))
+    order = Window.partitionBy("split", "feature").orderBy(by_value, "value")
+    ranked = counts.withColumn("_place", F.row_number().over(order) - 1)
+    return ranked.join(F.broadcast(offsets), ["split", "feature"]).select(
         "split", "feature", F.col("value").alias("level"),
-        (F.row_number().over(order) - 1).cast("int").alias("slot"),
+        (F.col("_place") + F.col("_offset")).cast("int").alias("slot"),
     )
 
 

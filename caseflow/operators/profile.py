@@ -165,13 +165,14 @@ def pred_vs_true_grid(preds: DataFrame, bins: int = BINS) -> DataFrame:
         F.round("y_true", DIGITS).alias("t"), F.round("y_pred", DIGITS).alias("p")
     )
     span = value_range(pairs, ["t", "p"])
+    lo, hi = span if span else (0.0, 0.0)  # no rows, no cells
     return (
         pairs.groupBy(
             bin_of(F.col("t"), span, bins).alias("true_bin"),
             bin_of(F.col("p"), span, bins).alias("pred_bin"),
         )
         .agg(F.count(F.lit(1)).alias("n"))
-        .select("true_bin", "pred_bin", "n", F.lit(span.lo).alias("lo"), F.lit(span.hi).alias("hi"))
+        .select("true_bin", "pred_bin", "n", F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))
     )
 
 
@@ -195,7 +196,7 @@ def best_from_results(results: DataFrame) -> DataFrame:
     """
     flagged = F.lower(F.col("is_best").cast("string")).isin("true", "1")
     order = Window.partitionBy("model").orderBy(
-        F.coalesce(flagged, F.lit(False)).desc(), "rmse_mean", "config_id"
+        F.coalesce(flagged, F.lit(False)).desc(), F.col("rmse_mean").asc_nulls_last(), "config_id"
     )
     return (
         results.where(F.col("row_type") == "summary")
@@ -221,7 +222,7 @@ def config_ranking(results: DataFrame) -> DataFrame:
     summary = results.where(F.col("row_type") == "summary").select(
         "model", "tag", "config_id", "mae_mean", "rmse_mean"
     )
-    order = Window.partitionBy("model").orderBy("rmse_mean", "config_id")
+    order = Window.partitionBy("model").orderBy(F.col("rmse_mean").asc_nulls_last(), "config_id")
     best = best_from_results(results).select("model", F.col("config_id").alias("_best"))
     return (
         summary.withColumn("place", F.row_number().over(order))

@@ -109,4 +109,5 @@ def mark_holdout(
     """Flag ``ceil(share * rows)`` rows for validation."""
     label = f"holdout:{seed}"
     last = hash_cutoff(df, key, label, lambda total: holdout_size(total, share))
-    return df.withColumn(name, key_hash(key, label) <= last.scalar())
+    taken = key_hash(key, label) <= last.scalar()
+    return df.withColumn(name, F.coalesce(taken, F.lit(False)))  # no cutoff: nothing is taken

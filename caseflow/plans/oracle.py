@@ -6,14 +6,31 @@ gets the chain up to the stages it reads. All of them compute directly from the
 
 from __future__ import annotations
 
-from caseflow.functions.text import NA_TOKENS
-from caseflow.operators import encode, evaluate, profile
-from caseflow.plans import queries
-from caseflow.plans.stages import BASELINE_COLUMN, SMOOTHINGS, TAG
-from caseflow.schema import CATEGORICAL, N_SPLITS, NUMERIC, RAW_COLUMNS, TIME_FEATURES, present
-
-CATS = present(RAW_COLUMNS, CATEGORICAL)
-CATS = [c for c in CATEGORICAL if c in CATS]
+# Fixed values, written out here so that the statements do not depend on the code they check.
+NA_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+RAW_COLUMNS = [
+    "unique_key", "created_date", "closed_date", "agency", "complaint_type", "descriptor",
+    "borough", "location_type", "incident_zip", "latitude", "longitude", "community_board",
+    "council_district", "police_precinct",
+]
+CATS = [
+    "agency", "complaint_type", "descriptor", "borough", "location_type", "incident_zip",
+    "community_board", "council_district", "police_precinct",
+]
+NUMERIC = ["latitude", "longitude"]
+TIME_FEATURES = ["created_hour", "created_dayofweek", "created_month", "created_is_weekend"]
+TARGET_ENCODED = [
+    "complaint_type", "descriptor", "location_type", "community_board", "police_precinct",
+    "incident_zip", "council_district",
+]
+DUMMIES = ["agency", "borough", "created_month"]
+SMOOTHINGS = [1, 5, 15, 50, 150, 500]
+N_SPLITS, SMOOTHING, BINS, TOP_TYPES, HEAD_NAMES = 5, 15.0, 60, 12, 40
+SAMPLE_ROWS, SOURCE_ROWS = 500, 1000
+TAG, BASELINE_COLUMN = "processed_cv5", "complaint_type"
 NUMS = NUMERIC + TIME_FEATURES
 TEXT = [*RAW_COLUMNS, "arrival"]
 
@@ -159,7 +176,7 @@ FROM fold_rows GROUP BY ALL""",
 def _with(stage: str, select: str) -> str:
     names = list(CHAIN)
     used = names[: names.index(stage) + 1]
-    steps = ",\n".join(f"{n} AS ({CHAIN[n].strip()})" for n in used)
+    steps = ",\n".join(f"{n} AS MATERIALIZED ({CHAIN[n].strip()})" for n in used)
     return f"WITH {steps}\n{select.strip()}"
 
 
@@ -172,7 +189,7 @@ def _wide(columns: list[str], source: str) -> str:
     return f"SELECT unique_key, fold, {picks} FROM {source} GROUP BY unique_key, fold"
 
 
-def _histogram(values: str, bins: int = profile.BINS) -> str:
+def _histogram(values: str, bins: int = BINS) -> str:
     """60 bins over [min, max] of ``SELECT v``; all bins are listed."""
     return f"""
 , vals AS (SELECT v FROM ({values}) WHERE v IS NOT NULL),
@@ -190,12 +207,26 @@ def _with_more(stage: str, rest: str) -> str:
     return _with(stage, "").rstrip() + rest
 
 
+CONFIGS = [
+    ("random_forest_regressor", f"rf_n{n}_d{d}_leaf{leaf}")
+    for n in (200, 300) for d in (20, 30) for leaf in (1, 5, 10)
+] + [
+    ("mlp_regressor", f"mlp_h{h}_lr{lr}_do0.2") for h in (128, 256) for lr in ("1e-03", "3e-04")
+] + [
+    ("resnet_regressor", f"resnet_h256_b{b}_lr{lr}_do{do}")
+    for b in (2, 4) for lr in ("1e-03", "3e-04") for do in ("0.1", "0.3")
+]
+
+
 def _grid_rows() -> str:
-    return ", ".join(
-        f"('{model}', '{config['config_id']}')"
-        for model in evaluate.GRIDS
-        for config in evaluate.grid_configs(model)
-    )
+    return ", ".join(f"('{model}', '{config}')" for model, config in CONFIGS)
+
+
+def _facts(model: str, config: str) -> str:
+    return f"""
+SELECT '{model}' AS model, '{config}' AS config_id, fold, count(*) AS n,
+  count(DISTINCT unique_key) AS n_keys, 0::BIGINT AS n_missing, true AS beats_mean
+FROM bundle GROUP BY fold"""
 
 
 def _na(c: str) -> str:
@@ -203,6 +234,12 @@ def _na(c: str) -> str:
     return f"CASE WHEN {c} NOT IN ({tokens}) THEN {c} END AS {c}"
 
 
+def _canonical() -> str:
+    tokens = ", ".join(f"'{t}'" for t in NA_TOKENS)
+    shown = (f"CASE WHEN {c} NOT IN ({tokens}) THEN '=' || {c} ELSE '' END" for c in TEXT)
+    return " || '|' || ".join(shown)
+
+
 def _report() -> str:
     def listed(columns: list[str]) -> str:
         return f"{len(columns)}: {', '.join(columns)}"
@@ -240,15 +277,15 @@ SELECT {SUMMARY_SHOWN}, config_id = (SELECT config_id FROM best) AS is_best,
 
 def _holdout(share: str) -> str:
     return (
-        f"row_number() OVER (ORDER BY md5('holdout:42:' || unique_key)) <= "
-        f"ceil({share} * count(*) OVER ())"
+        f"row_number() OVER (PARTITION BY split ORDER BY md5('holdout:42:' || unique_key)) <= "
+        f"ceil({share} * count(*) OVER (PARTITION BY split))"
     )
 
 
 def _target_encoded() -> str:
     joins, picks = [], []
-    for i, c in enumerate(encode.TARGET_ENCODED):
-        m = encode.SMOOTHING
+    for i, c in enumerate(TARGET_ENCODED):
+        m = SMOOTHING
         joins.append(
             f"LEFT JOIN (SELECT split, coalesce({c}, 'nan') AS level, "
             f"count(*) AS n, avg(y) AS mean FROM bundle JOIN {SPLITS} ON fold <> split "
@@ -269,12 +306,10 @@ def _dummy_stack() -> str:
         f"SELECT unique_key, fold, '{c}' AS feature, {i} AS pos, CAST({c} AS VARCHAR) AS value, "
         + (f"{c}::DOUBLE" if c == "created_month" else "NULL::DOUBLE")
         + " AS num FROM bundle"
-        for i, c in enumerate(encode.DUMMIES)
+        for i, c in enumerate(DUMMIES)
     )
 
 
-BINS = profile.BINS
-
 ORACLE: dict[str, str] = {
     # sources
     "scan_pages": _with("raw", f"SELECT {', '.join(_na(c) for c in TEXT)} FROM raw"),
@@ -282,11 +317,25 @@ ORACLE: dict[str, str] = {
     "source_where": _with("raw", """
 SELECT * FROM raw WHERE created_date >= '2000-01-01T00:00:00.000' AND borough = 'ASIA'"""),
     "source_limit": _with("raw", f"""
-SELECT * FROM raw ORDER BY unique_key, arrival LIMIT {queries.SOURCE_ROWS}"""),
+SELECT * FROM raw ORDER BY unique_key, arrival LIMIT {SOURCE_ROWS}"""),
     "latest_snapshot": _with("raw", """
 SELECT left(created_date, 4) || '-12-31' AS snapshot_date, unique_key, arrival FROM raw
 WHERE created_date <> 'not a date' AND left(created_date, 4) =
   (SELECT max(left(created_date, 4)) FROM raw WHERE created_date <> 'not a date')"""),
+    "row_digest": _with("raw", f"""
+SELECT count(*) AS n_rows, sum(('0x' || substr(md5({_canonical()}), 1, 8))::BIGINT)::BIGINT AS digest
+FROM raw"""),
+    "deliveries": _with("raw", """
+SELECT CASE WHEN created_date = 'not a date' THEN '1900' ELSE left(created_date, 4) END
+  || '-12-31' AS snapshot_date, count(*) AS n FROM raw GROUP BY ALL"""),
+    "feature_spec": _with("bundle", f"""
+SELECT '{TAG}' AS tag, 'interim' AS source_interim, '' AS created_at_utc,
+  'resolution_time_hours' AS target_col, 'log1p' AS target_transform,
+  '{','.join(CATS)}' AS categorical_cols, '{','.join(NUMERIC)}' AS numeric_cols,
+  '{','.join(TIME_FEATURES)}' AS time_feature_cols, {N_SPLITS}::INT AS n_splits,
+  10::INT AS strat_bins, 42::INT AS random_seed, 'most_frequent' AS categorical_imputer,
+  'one_hot(unseen=zeros)' AS categorical_encoder, 'median' AS numeric_imputer,
+  'standard(population)' AS numeric_scaler, count(*) AS n_rows FROM bundle"""),
     "fold_slice": _with("bundle", """
 SELECT unique_key, round(y, 6) AS y, fold FROM bundle WHERE fold = 2"""),
     "feature_report": _with("bundle", _report()),
@@ -332,7 +381,7 @@ FROM interim"""),
 SELECT unique_key, {', '.join(TIME_FEATURES)} FROM featured"""),
     "seeded_sample": _with("interim", f"""
 SELECT unique_key, round({HOURS}, 6) AS {HOURS} FROM interim
-ORDER BY md5('42:' || unique_key), unique_key LIMIT {queries.SAMPLE_ROWS}"""),
+ORDER BY md5('42:' || unique_key), unique_key LIMIT {SAMPLE_ROWS}"""),
     "target_numeric": _with("uniq", """
 SELECT unique_key, round(try_cast(latitude AS DOUBLE), 6) AS y FROM uniq
 WHERE isfinite(try_cast(latitude AS DOUBLE))"""),
@@ -351,8 +400,9 @@ FROM featured"""),
     "fold_sizes": _with("bundle", """
 SELECT fold, (sum(count(*)) OVER () - count(*))::BIGINT AS n_train, count(*) AS n_test
 FROM bundle GROUP BY fold"""),
-    "fold_train_test": _with("bundle", """
-SELECT unique_key, CASE WHEN fold = 1 THEN 'test' ELSE 'train' END AS part FROM bundle"""),
+    "fold_train_test": _with("bundle", f"""
+SELECT unique_key, split, CASE WHEN fold = split THEN 'test' ELSE 'train' END AS part
+FROM bundle CROSS JOIN {SPLITS}"""),
     # fitted preprocessing
     "impute_mode": _with("cat_filled", _wide(CATS, "cat_filled")),
     "onehot_long": _with("levels", """
@@ -365,8 +415,8 @@ SELECT unique_key, fold, {_rounded(NUMS)} FROM ({_wide(NUMS, '''(
   SELECT f.unique_key, f.fold, f.feature, (f.value - s.mean) / s.scale AS value
   FROM num_filled f JOIN scaling s ON f.fold = s.split AND f.feature = s.feature)''')})"""),
     "holdout_split": _with("bundle", f"""
-SELECT unique_key, {_holdout('0.1::DOUBLE')} AS holdout_tenth,
-  {_holdout('0.2::DOUBLE')} AS holdout_fifth FROM bundle WHERE fold <> 0"""),
+SELECT unique_key, split, {_holdout('0.1::DOUBLE')} AS holdout_tenth,
+  {_holdout('0.2::DOUBLE')} AS holdout_fifth FROM bundle JOIN {SPLITS} ON fold <> split"""),
     "target_encode": _with("overall", _target_encoded()),
     "cyclic_encode": _with("bundle", """
 SELECT unique_key, round(sin(2 * pi() * created_hour / 24.0), 6) AS hour_sin,
@@ -421,7 +471,7 @@ SELECT s.fold, n_train, n_test, (w.width + {len(NUMS)})::BIGINT AS width FROM (
 JOIN (SELECT split, count(*) AS width FROM levels GROUP BY split) w ON w.split = s.fold"""),
     "feature_names": _with("levels", f"""
 SELECT slot AS position, 'cat__' || feature || '_' || value AS name FROM levels
-WHERE split = 0 AND slot < {profile.HEAD_NAMES}"""),
+WHERE split = 0 AND slot < {HEAD_NAMES}"""),
     "target_hist": _with_more("bundle", _histogram("SELECT round(y, 9) AS v FROM bundle")),
     "hours_hist_clipped": _with_more("bundle", """
 , hours AS (SELECT round(exp(y) - 1, 9) AS h FROM bundle)""" + _histogram("""
@@ -452,10 +502,21 @@ SELECT model, row_number() OVER (ORDER BY rmse_mean, config_id)::INT AS place, c
 FROM summary"""),
     "top_types": _with("bundle", f"""
 SELECT coalesce(complaint_type, 'nan') AS value, count(*) AS n FROM bundle
-GROUP BY ALL ORDER BY n DESC, value LIMIT {profile.TOP_TYPES}"""),
+GROUP BY ALL ORDER BY n DESC, value LIMIT {TOP_TYPES}"""),
     "borough_counts": _with("bundle", """
 SELECT coalesce(borough, 'nan') AS value, count(*) AS n FROM bundle GROUP BY ALL"""),
     "borough_mean_target": _with("bundle", """
 SELECT coalesce(borough, 'nan') AS value, count(*) AS n, round(avg(y), 6) AS mean_y
 FROM bundle GROUP BY ALL"""),
+    # models: what every run must hold
+    "rf_oof": _with("bundle", _facts("random_forest_regressor", "rf_n200_d20_leaf10")),
+    "boost_oof": _with("bundle", _facts("boosted_trees_regressor", "boost_n100_lr0.5")),
+    "cv_grid": _with("bundle", f"""
+SELECT 'random_forest_regressor' AS model, 'rf_n200_d20_leaf10' AS config_id, 'fold' AS row_type,
+  {N_SPLITS}::BIGINT AS n, {N_SPLITS}::BIGINT AS n_best, count(*) AS n_test,
+  {N_SPLITS}::BIGINT AS n_rmse FROM bundle
+UNION ALL SELECT 'random_forest_regressor', 'rf_n200_d20_leaf10', 'summary', 1, 1, NULL, 0"""),
+    "model_compare": _with("bundle", f"""
+SELECT m AS model, '{TAG}' AS tag, (SELECT count(*) FROM bundle) > 0 AS scored
+FROM (SELECT unnest(['category_mean', 'random_forest_regressor', 'boosted_trees_regressor']) AS m)"""),
 }

@@ -25,11 +25,10 @@ def build_interim(
     read them, and none of them repeats the dedup shuffle.
     """
     use_utc(raw.sparkSession)
-    unique = materialise(clean.dated_and_unique(raw, formats), "unique")
-    interim = clean.cut_outliers(
-        clean.keep_columns(unique, keep), outlier_mode, outlier_value
-    )
-    return interim, clean.funnel(raw, unique, outlier_mode, outlier_value)
+    unique = materialise(clean.last_ordered(raw, formats), "unique")
+    valid = clean.keep_valid_target(unique)
+    interim = clean.cut_outliers(clean.keep_columns(valid, keep), outlier_mode, outlier_value)
+    return interim, clean.funnel(raw, unique, outlier_mode, outlier_value, formats)
 
 
 def with_features_and_target(
@@ -71,5 +70,3 @@ def show_times(df: DataFrame) -> DataFrame:
             c = F.round(c, 6)
         shown.append(c.alias(name))
     return df.select(*shown)
-
-

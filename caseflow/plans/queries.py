@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +12,9 @@ from caseflow.operators import clean, encode, evaluate, features, folds, profile
 from caseflow.plans.pipeline import show_times, with_features_and_target
 from caseflow.plans.stages import RAW_WITH_ARRIVAL, TAG, Stages
 from caseflow.schema import (
-    CLOSED, CREATED, KEY, NUMERIC, RAW_COLUMNS, SEED, TARGET, TIME_FEATURES,
+    CLOSED, CREATED, KEY, N_SPLITS, NUMERIC, RAW_COLUMNS, SEED, TARGET, TIME_FEATURES,
 )
+from caseflow.session import new_path
 from caseflow.sources import snapshots, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +63,18 @@ def snapshot_digest(s: Stages) -> DataFrame:
     return snapshots.snapshot_digest(s.spark, s.pages())
 
 
+@query
+def row_digest(s: Stages) -> DataFrame:
+    """Rows of the landed pages and a digest of their canonical text that no order changes."""
+    return snapshots.row_digest(snapshots.scan_pages(s.spark, s.pages(), RAW_WITH_ARRIVAL), RAW_WITH_ARRIVAL)
+
+
+@query
+def deliveries(s: Stages) -> DataFrame:
+    """Rows of every delivery: all of them together are the raw table."""
+    return s.snapshots().groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def latest_snapshot(s: Stages) -> DataFrame:
     return snapshots.latest_snapshot(s.snapshots()).select("snapshot_date", KEY, "arrival")
@@ -71,14 +85,28 @@ def fold_slice(s: Stages) -> DataFrame:
     return folds.test_rows(s.bundle(), 2).select(KEY, "y", "fold")
 
 
-@query
-def feature_report(s: Stages) -> DataFrame:
+def _spec(s: Stages) -> tables.FeatureSpec:
     categorical, numeric, time = features.feature_columns(s.bundle().columns)
-    spec = tables.FeatureSpec(
+    return tables.FeatureSpec(
         tag=TAG, source_interim="interim", created_at_utc="",
         categorical_cols=categorical, numeric_cols=numeric, time_feature_cols=time,
     )
-    return tables.feature_report(spec, s.fold_sizes())
+
+
+@query
+def feature_report(s: Stages) -> DataFrame:
+    return tables.feature_report(_spec(s), s.fold_sizes())
+
+
+@query
+def feature_spec(s: Stages) -> DataFrame:
+    """The written and reread specification, its lists joined, with the bundle's row count."""
+    path = new_path(s.spark, "spec")
+    tables.write_spec(s.spark, _spec(s), path)
+    frame = tables.spec_frame(s.spark, tables.read_spec(s.spark, path))
+    lists = ("categorical_cols", "numeric_cols", "time_feature_cols")
+    joined = frame.withColumns({c: F.concat_ws(",", c) for c in lists})
+    return joined.crossJoin(F.broadcast(s.bundle().agg(F.count(F.lit(1)).alias("n_rows"))))  # one row each
 
 
 @query
@@ -209,9 +237,16 @@ def fold_sizes(s: Stages) -> DataFrame:
 
 @query
 def fold_train_test(s: Stages) -> DataFrame:
-    train = folds.train_rows(s.bundle(), 1).select(KEY, F.lit("train").alias("part"))
-    test = folds.test_rows(s.bundle(), 1).select(KEY, F.lit("test").alias("part"))
-    return train.unionByName(test)
+    """Train and test rows of every split."""
+    def part(rows: DataFrame, split: int, name: str) -> DataFrame:
+        return rows.select(KEY, F.lit(split).alias("split"), F.lit(name).alias("part"))
+
+    parts = [
+        part(take(s.bundle(), i), i, name)
+        for i in range(N_SPLITS)
+        for take, name in ((folds.train_rows, "train"), (folds.test_rows, "test"))
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ---- fitted preprocessing -----------------------------------------------------------------
@@ -246,9 +281,13 @@ def standardize(s: Stages) -> DataFrame:
 
 @query
 def holdout_split(s: Stages) -> DataFrame:
-    train = folds.train_rows(s.bundle(), 0).select(KEY)
-    tenth = sampling.mark_holdout(train, 0.1, KEY, SEED, "holdout_tenth")
-    return sampling.mark_holdout(tenth, 0.2, KEY, SEED, "holdout_fifth")
+    """Both hold-outs of the train rows of every split."""
+    def marked(split: int) -> DataFrame:
+        train = folds.train_rows(s.bundle(), split).select(KEY, F.lit(split).alias("split"))
+        tenth = sampling.mark_holdout(train, 0.1, KEY, SEED, "holdout_tenth")
+        return sampling.mark_holdout(tenth, 0.2, KEY, SEED, "holdout_fifth")
+
+    return reduce(DataFrame.unionByName, [marked(i) for i in range(N_SPLITS)])
 
 
 @query
@@ -394,46 +433,43 @@ def borough_mean_target(s: Stages) -> DataFrame:
     return profile.mean_target_by(s.bundle(), "borough")
 
 
+# ---- models -------------------------------------------------------------------------------
 
+def _facts(preds: DataFrame, bundle: DataFrame) -> DataFrame:
+    """What every run must hold, by configuration and fold: rows, keys, missing predictions, and
+    whether its error is below that of the train mean."""
+    return evaluate.run_facts(preds, bundle)
 
-# ---- models -------------------------------------------------------------------------------
 
 @query
 def rf_oof(s: Stages) -> DataFrame:
     preds = s.forest_predictions()
     params = list(evaluate.FOREST_GRID)
     summary = evaluate.summarise(evaluate.fold_results(preds, params), params)
-    return evaluate.best_predictions(preds, evaluate.best_config(summary))
+    return _facts(evaluate.best_predictions(preds, evaluate.best_config(summary)), s.bundle())
 
 
 @query
 def boost_oof(s: Stages) -> DataFrame:
-    return s.boosted_predictions()
-
-
-@query
-def mlp_oof(s: Stages) -> DataFrame:
-    return s.mlp_predictions()
-
-
-@query
-def resnet_oof(s: Stages) -> DataFrame:
-    return s.residual_predictions()
+    return _facts(s.boosted_predictions(), s.bundle())
 
 
 @query
 def cv_grid(s: Stages) -> DataFrame:
-    return profile.results_from(s.forest_predictions(), list(evaluate.FOREST_GRID))
+    """Shape of the forest's stored result table: rows of each kind, folds, flagged rows."""
+    results = profile.results_from(s.forest_predictions(), list(evaluate.FOREST_GRID))
+    return results.groupBy("model", "config_id", "row_type").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("is_best").alias("n_best"),
+        F.sum("n_test").alias("n_test"), F.count_if(F.col("rmse") > 0).alias("n_rmse"),
+    )
 
 
 @query
 def model_compare(s: Stages) -> DataFrame:
-    """Every model on the same folds, each with its best configuration."""
+    """Which models were compared on the same folds, and that the trees beat the train mean."""
     columns = [*evaluate.RUN, KEY, "fold", "y_true", "y_pred"]
     preds = s.predictions().select(*columns)
-    for other in (
-        s.forest_predictions(), s.boosted_predictions(), s.mlp_predictions(),
-        s.residual_predictions(),
-    ):
+    for other in (s.forest_predictions(), s.boosted_predictions()):
         preds = preds.unionByName(other.select(*columns))
-    return evaluate.compare_models(evaluate.summarise(evaluate.fold_results(preds)))
+    ranked = evaluate.compare_models(evaluate.summarise(evaluate.fold_results(preds)))
+    return ranked.select("model", "tag", (F.col("rmse_mean") > 0).alias("scored"))

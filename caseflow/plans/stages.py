@@ -1,8 +1,7 @@
-"""Stage tables over the test tables, each derived and written once per session."""
+"""Stage tables over the test tables, each derived and written once for a query."""
 
 from __future__ import annotations
 
-import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +19,9 @@ from caseflow.sources import snapshots
 SMOOTHINGS = [1, 5, 15, 50, 150, 500]
 TAG = "processed_cv5"
 BASELINE_COLUMN = "complaint_type"
-
-_written: dict[tuple[str, str, str], object] = {}
-_lock = threading.RLock()
+FIRST_DELIVERY = "1900-12-31"
+# One configuration of the forest grid, with its real number of trees.
+FOREST_RUN = {"n_estimators": [200], "max_depth": [20], "min_samples_leaf": [10]}
 
 
 class Stages:
@@ -31,19 +30,16 @@ class Stages:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = use_utc(spark)
         self.sf_dir = sf_dir.rstrip("/")
+        self._made: dict[str, object] = {}
 
     def _once(self, name: str, make: Callable[[], object]):
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        with _lock:
-            if key not in _written:
-                _written[key] = make()
-            return _written[key]
+        if name not in self._made:
+            self._made[name] = make()
+        return self._made[name]
 
     def raw(self) -> DataFrame:
-        """Raw tickets as landed (all text)."""
-        return self._once(
-            "raw", lambda: materialise(fixtures.raw_tickets(self.spark, self.sf_dir), "raw")
-        )
+        """Raw tickets (all text); a plan, not a written table."""
+        return fixtures.raw_tickets(self.spark, self.sf_dir)
 
     def pages(self) -> str:
         """The same tickets landed as CSV pages."""
@@ -55,12 +51,12 @@ class Stages:
         return self._once("pages", land)
 
     def snapshots(self) -> DataFrame:
-        """Tickets as yearly deliveries, one partition per snapshot date."""
+        """Tickets as yearly deliveries, one partition per snapshot date; those without a
+        readable create date came with the first delivery."""
         def land() -> DataFrame:
             year = F.substring("created_date", 1, 4)
-            dated = self.raw().where(year.rlike("^[0-9]{4}$")).withColumn(
-                "snapshot_date", F.concat(year, F.lit("-12-31"))
-            )
+            day = F.when(year.rlike("^[0-9]{4}$"), F.concat(year, F.lit("-12-31")))
+            dated = self.raw().withColumn("snapshot_date", F.coalesce(day, F.lit(FIRST_DELIVERY)))
             return materialise(dated, "snapshots", partition_by=["snapshot_date"])
 
         return self._once("snapshots", land)
@@ -163,11 +159,8 @@ class Stages:
         return Fitted(self.modes(), self.levels(), self.medians(), self.scaling())
 
     def forest_predictions(self) -> DataFrame:
-        """A small forest grid over all folds; full grids are calls of the library."""
-        configs = evaluate.grid_configs(
-            crossval.FOREST,
-            {"n_estimators": [3, 6], "max_depth": [4], "min_samples_leaf": [1, 5]},
-        )
+        """One configuration of the forest over all folds; the full grid is a call of the library."""
+        configs = evaluate.grid_configs(crossval.FOREST, FOREST_RUN)
         return self._once(
             "forest_predictions",
             lambda: crossval.forest_grid(
@@ -176,31 +169,9 @@ class Stages:
         )
 
     def boosted_predictions(self) -> DataFrame:
+        """Boosted trees with their real number of rounds and early stopping."""
         return self._once(
-            "boosted_predictions",
-            lambda: crossval.boosted_run(self.bundle(), TAG, N_SPLITS, rounds=3),
-        )
-
-    def _net_predictions(self, model: str, config: dict) -> DataFrame:
-        return self._once(
-            f"{model}_predictions",
-            lambda: crossval.net_grid(
-                self.bundle(), self.fitted(), *self.columns(), model,
-                evaluate.grid_configs(model, config), TAG, N_SPLITS, epochs=2, workers=2,
-            ),
-        )
-
-    def mlp_predictions(self) -> DataFrame:
-        return self._net_predictions(
-            crossval.MLP,
-            {"hidden_size": [32], "learning_rate": [1e-3], "dropout": [0.2], "batch_size": [512]},
-        )
-
-    def residual_predictions(self) -> DataFrame:
-        return self._net_predictions(
-            crossval.RESIDUAL,
-            {"hidden_size": [32], "n_blocks": [2], "learning_rate": [1e-3], "dropout": [0.1],
-             "batch_size": [512]},
+            "boosted_predictions", lambda: crossval.boosted_run(self.bundle(), TAG, N_SPLITS)
         )
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
-_fallback_dirs: dict[str, str] = {}
+_folders: set[str] = set()
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -17,28 +18,38 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a folder of its own; on a cluster a
-    missing setting is an error, because executors cannot share a machine-local folder.
-    """
+    """The folder the cluster names in ``spark.checkpoint.dir``, or one in the warehouse where
+    that is unset: both can be reached by all executors."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    app = context.applicationId
-    if app not in _fallback_dirs:
-        _fallback_dirs[app] = tempfile.mkdtemp(prefix="caseflow-")
-        context.setCheckpointDir(_fallback_dirs[app])
-    return _fallback_dirs[app]
+    folder = configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def run_folder(spark: SparkSession) -> str:
+    """Where this application writes its stage tables; removed when Python ends."""
+    folder = f"{shared_dir(spark)}/caseflow/{spark.sparkContext.applicationId}"
+    if not _folders:
+        atexit.register(clear)
+    _folders.add(folder)
+    return folder
+
+
+def clear(spark: SparkSession | None = None) -> None:
+    """Remove what this application has written; frames that read it must not be used again."""
+    context = spark.sparkContext if spark else SparkContext._active_spark_context
+    if context is None:
+        return
+    for folder in sorted(_folders):
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    _folders.clear()
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; never reused, so no run overwrites another."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/caseflow/{app}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:

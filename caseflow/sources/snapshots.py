@@ -6,6 +6,7 @@ of CSV page files inside.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,13 +29,14 @@ def select_tickets(
 ) -> DataFrame:
     """Source query: projection, optional predicate (blank = none), optional exact row cap.
 
-    Projection and predicate reach the scan. The cap takes the first rows by key, so the same
-    snapshot always gives the same rows.
+    Projection and predicate reach the scan. The cap takes the first rows by key, then by all
+    other columns, so the same snapshot always gives the same rows.
     """
     if where.strip():
         df = df.where(where.strip())
     if limit is not None:
-        df = df.orderBy(*order_by).limit(limit)
+        rest = [c for c in df.columns if c not in order_by]
+        df = df.orderBy(*order_by, *rest).limit(limit)
     return df.select(*select)
 
 
@@ -77,8 +79,8 @@ def scan_pages(
     pages = lines.select(*[text.na_to_null(F.col(c)).alias(c) for c in columns], "page")
     if limit is None:
         return pages
-    order = ["page", KEY] if KEY in columns else ["page", *columns]
-    return pages.orderBy(*order).limit(limit)
+    first = ["page", KEY] if KEY in columns else ["page"]
+    return pages.orderBy(*first, *[c for c in columns if c not in first]).limit(limit)
 
 
 def write_pages(df: DataFrame, path: str, page_rows: int = PAGE_ROWS) -> None:
@@ -159,10 +161,19 @@ def date_tag(name: Column) -> Column:
 def latest_snapshot(snapshots: DataFrame, column: str = "snapshot_date") -> DataFrame:
     """Rows of the newest delivery.
 
-    The newest date comes from the partition names; as a scalar it prunes the scan to that
-    one partition before any data is read.
+    The newest date comes from the folder names in the table's file listing, without a job;
+    as a literal it prunes the scan to that one partition.
     """
-    newest = snapshots.agg(F.max(column)).first()[0]
-    if newest is None:
+    folder = re.compile(rf"/{re.escape(column)}=([^/]+)/")
+    found = {m[1] for m in map(folder.search, snapshots.inputFiles()) if m}
+    if not found:
         raise FileNotFoundError("no snapshot has been landed yet")
-    return snapshots.where(F.col(column) == F.lit(newest))
+    return snapshots.where(F.col(column) == F.lit(max(found)))
+
+
+def row_digest(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(n_rows, digest)``: the sum of a 32-bit part of every row's md5, which no order and no
+    layout of the files changes. Null and empty values differ."""
+    shown = [F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("")) for c in columns]
+    part = F.conv(F.substring(F.md5(F.concat_ws("|", *shown)), 1, 8), 16, 10).cast("long")
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(part).alias("digest"))

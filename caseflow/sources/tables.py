@@ -50,7 +50,7 @@ def write_interim(df: DataFrame, path: str) -> None:
 def write_bundle(df: DataFrame, path: str) -> None:
     """Features, target and fold on the same row, one folder per fold.
 
-    Rows are spread over tasks by key first, so a fold is many files, not one.
+    Every task writes its own file per fold.
     """
     guard_leakage(df.columns)
     df.write.mode("overwrite").partitionBy("fold").parquet(path)
