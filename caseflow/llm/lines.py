@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from .rolling import INVERSE, mixed, powers, prefix_sums, word_hashes
-from .shared import held
+from .shared import held, prefiltered
 
 #: Fewest words of a line that is compared at all, and of one that an edited line can match.
 LEAST, NEAR = 3, 8
@@ -148,20 +148,21 @@ def _occurrence() -> Column:
     return F.struct(F.col("id").isNull().alias("none"), "id", "text_hash", "line")
 
 
-def _near_lines(distinct: DataFrame) -> DataFrame:
+def _near_lines(lines: DataFrame) -> DataFrame:
     """Rows (h1, h2, first, before, after): lines with a half in common with another line."""
     halves = [F.struct(F.shiftright(c, 32 * (1 - side)).bitwiseAND(F.lit(0xFFFFFFFF)).alias("key"), F.lit(bool(side)).alias("before")) for c in ("k1", "k2") for side in (0, 1)]
-    dealt = distinct.where(F.col("k1") != 0).select("h1", F.explode(F.array(*halves)).alias("half")).select("h1", "half.*")
+    dealt = lines.where(F.col("k1") != 0).select("h1", F.explode(F.array(*halves)).alias("half")).select("h1", "half.*")
+    # Occurrences of one line have one h1, so they need not be reduced first.
     shared = dealt.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("key")
-    hit = dealt.join(shared, "key").groupBy("h1").agg(F.bool_or("before").alias("before"), F.bool_or(~F.col("before")).alias("after"))
-    return distinct.select("h1", "h2", "first").join(hit, "h1")
+    hit = held(dealt.join(shared, "key").groupBy("h1").agg(F.bool_or("before").alias("before"), F.bool_or(~F.col("before")).alias("after")))
+    return lines.join(hit, "h1").groupBy("h1", "h2").agg(F.min(_occurrence()).alias("first"), F.first("before").alias("before"), F.first("after").alias("after"))
 
 
-def _edited(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _edited(docs: DataFrame, lines: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows (h1, h2) of the lines within one edit of an earlier line."""
-    close = _near_lines(distinct)
-    wanted = close.groupBy("first.id", "first.text_hash").agg(F.collect_list(F.struct("first.line", "h1", "h2", "before", "after")).alias("lines"))
-    texts = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
+    close = _near_lines(lines)
+    wanted = held(close.groupBy("first.id", "first.text_hash").agg(F.collect_list(F.struct("first.line", "h1", "h2", "before", "after")).alias("lines")))
+    texts = prefiltered(docs.select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text")), wanted)
     met = texts.join(wanted, F.col("doc").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("text_hash")))
     read = met.select("id", "text_hash", F.explode(F.arrays_zip("lines", words_at("text", F.col("lines.line")).alias("words"))).alias("x"))
     rows = read.select("id", "text_hash", "x.lines.*", "x.words").dropDuplicates(["h1", "h2"])
@@ -183,8 +184,8 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Rows (id, text_hash, lines): the numbers of the lines that go, for documents that lose any."""
     found = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.explode(_marks(F.col(text_col), least, near)).alias("m"))
     lines = held(found.select("id", "text_hash", "m.*"))
-    by_line = lines.groupBy("h1", "h2").agg(F.min(_occurrence()).alias("first"), F.count("*").alias("times"), F.first("k1").alias("k1"), F.first("k2").alias("k2"))
-    edited = held(_edited(docs, by_line, id_col, text_col)).withColumn("near", F.lit(True))
+    edited = held(_edited(docs, lines, id_col, text_col)).withColumn("near", F.lit(True))
+    by_line = lines.groupBy("h1", "h2").agg(F.min(_occurrence()).alias("first"), F.count("*").alias("times"))
     # Only lines that recur or are edited can go.
     judged = by_line.join(edited, ["h1", "h2"], "left").where("times > 1 or near").select("h1", "h2", "first", "near")
     going = lines.join(judged, ["h1", "h2"]).where(F.col("near") | (F.col("first") != _occurrence()))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Characters that end a word or a line: space and the five ASCII controls.
 SPACE = r"[\x20\x09-\x0D]+"
+#: Bits of the filter in front of a join that fetches few texts, and of one of its rows.
+FILTER_BITS, PART_BITS = 1 << 24, 1 << 15
 
 
 def checkpoint_ready(spark: SparkSession) -> None:
@@ -35,6 +37,25 @@ def doc_key(id_col: str, text_col: str) -> Column:
     )
 
 
+def prefiltered(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """texts(hash, ...) without most rows whose hash is not in wanted(text_hash).
+
+    A bitmap of fixed size is broadcast (FILTER_BITS / 8 bytes, whatever the table); it lets every
+    wanted row pass, so that the join behind it moves little else.
+    """
+    def parts(c: Column) -> tuple[Column, Column]:
+        bit = F.pmod(c, F.lit(FILTER_BITS))
+        return F.floor(bit / PART_BITS).cast("int"), F.pmod(bit, F.lit(PART_BITS))
+
+    part, at = parts(F.col("text_hash"))
+    bitmap = wanted.select(part.alias("part"), at.alias("at")).groupBy("part").agg(F.bitmap_construct_agg("at").alias("bits"))
+    part, at = parts(F.col("hash"))
+    byte = F.conv(F.hex(F.substring("bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    set_bit = F.pmod(F.floor(byte / F.pow(F.lit(2.0), F.pmod(at, F.lit(8)))), F.lit(2)) == 1
+    met = texts.withColumn("part", part).join(F.broadcast(bitmap), "part")
+    return met.where(set_bit).select(*texts.columns)
+
+
 class BoundedCache(dict):
     """A dict that fills itself from a function and starts anew when it has grown to its bound."""
 
