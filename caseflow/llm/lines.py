@@ -186,8 +186,9 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     lines = held(found.select("id", "text_hash", "m.*"))
     edited = held(_edited(docs, lines, id_col, text_col)).withColumn("near", F.lit(True))
     by_line = lines.groupBy("h1", "h2").agg(F.min(_occurrence()).alias("first"), F.count("*").alias("times"))
-    # Only lines that recur or are edited can go.
-    judged = by_line.join(edited, ["h1", "h2"], "left").where("times > 1 or near").select("h1", "h2", "first", "near")
+    # Only lines that recur or are edited can go. Written first, so that the join that brings their
+    # occurrences together can split a line that holds a large share of them.
+    judged = held(by_line.join(edited, ["h1", "h2"], "left").where("times > 1 or near").select("h1", "h2", "first", "near"))
     going = lines.join(judged, ["h1", "h2"]).where(F.col("near") | (F.col("first") != _occurrence()))
     return going.groupBy("id", "text_hash").agg(F.array_sort(F.collect_set("line")).alias("lines"))
 
