@@ -193,3 +193,27 @@ def funnel(
 
     first = {s: "raw" for s in FUNNEL_STAGES[:3]} | {s: s for s in FUNNEL_STAGES[3:5]}
     return long(before, first).unionByName(long(after, {s: s for s in FUNNEL_STAGES[5:]}))
+
+
+def cleaning_report(
+    counts: DataFrame,
+    columns: Sequence[str],
+    mode: str,
+    value: float | None = None,
+    source: str = "",
+    target: str = "",
+) -> DataFrame:
+    """One row that records a cleaning run: names, outlier rule, kept columns, and the rows left
+    after each stage of ``counts`` (see ``funnel``). It is written as JSON beside the table."""
+    if mode not in OUTLIER_MODES:
+        raise ValueError(f"unknown outlier mode: {mode!r} (use one of {OUTLIER_MODES})")
+    default = {"percentile": DEFAULT_PERCENTILE, "cap_hours": DEFAULT_CAP_HOURS}.get(mode)
+    stages = [
+        F.max(F.when(F.col("stage") == s, F.col("n_rows"))).alias(f"rows_{s}") for s in FUNNEL_STAGES
+    ]
+    return counts.agg(*stages).select(
+        F.lit(source).alias("source"), F.lit(target).alias("target"),
+        F.lit(mode).alias("outlier_mode"),
+        F.lit(default if value is None else value).cast("double").alias("outlier_value"),
+        F.lit(",".join(columns)).alias("kept_columns"), *[f"rows_{s}" for s in FUNNEL_STAGES],
+    )

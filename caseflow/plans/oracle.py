@@ -372,6 +372,16 @@ UNION ALL SELECT 4, 'time_sanity', count(*) FROM ordered
 UNION ALL SELECT 5, 'dedup_unique_key', count(*) FROM uniq
 UNION ALL SELECT 6, 'target_compute', count(*) FROM uniq WHERE {HOURS} >= 0
 UNION ALL SELECT 7, 'outlier_filter', count(*) FROM interim"""),
+    "cleaning_report": _with("interim", f"""
+SELECT 'raw' AS source, 'interim' AS target, 'percentile' AS outlier_mode,
+  0.999::DOUBLE AS outlier_value, '{','.join([*TEXT, HOURS])}' AS kept_columns,
+  (SELECT count(*) FROM raw) AS rows_raw, (SELECT count(*) FROM trimmed) AS rows_empty_to_null,
+  (SELECT count(*) FROM typed) AS rows_datetime_parse,
+  (SELECT count(*) FROM dated) AS rows_required_dates,
+  (SELECT count(*) FROM ordered) AS rows_time_sanity,
+  (SELECT count(*) FROM uniq) AS rows_dedup_unique_key,
+  (SELECT count(*) FROM uniq WHERE {HOURS} >= 0) AS rows_target_compute,
+  (SELECT count(*) FROM interim) AS rows_outlier_filter"""),
     "clean_tickets": _with("interim", f"""
 SELECT * REPLACE (strftime(created_date, '%Y-%m-%d %H:%M:%S') AS created_date,
   strftime(closed_date, '%Y-%m-%d %H:%M:%S') AS closed_date, round({HOURS}, 6) AS {HOURS})
@@ -511,6 +521,11 @@ FROM bundle GROUP BY ALL"""),
     # models: what every run must hold
     "rf_oof": _with("bundle", _facts("random_forest_regressor", "rf_n200_d20_leaf10")),
     "boost_oof": _with("bundle", _facts("boosted_trees_regressor", "boost_n100_lr0.5")),
+    "boost_results": _with("bundle", f"""
+SELECT 'boosted_trees_regressor' AS model, 'boost_n100_lr0.5' AS config_id, 'fold' AS row_type,
+  100::INT AS n_estimators, 0.5::DOUBLE AS learning_rate, {N_SPLITS}::BIGINT AS n,
+  count(*) AS n_test, {N_SPLITS}::BIGINT AS n_errors FROM bundle
+UNION ALL SELECT 'boosted_trees_regressor', 'boost_n100_lr0.5', 'summary', 100, 0.5, 1, NULL, 0"""),
     "cv_grid": _with("bundle", f"""
 SELECT 'random_forest_regressor' AS model, 'rf_n200_d20_leaf10' AS config_id, 'fold' AS row_type,
   {N_SPLITS}::BIGINT AS n, {N_SPLITS}::BIGINT AS n_best, count(*) AS n_test,

@@ -176,6 +176,22 @@ def clean_funnel(s: Stages) -> DataFrame:
     return clean.funnel(s.raw(), s.unique())
 
 
+@query
+def cleaning_report(s: Stages) -> DataFrame:
+    counts = clean.funnel(s.raw(), s.unique())
+    return clean.cleaning_report(counts, s.interim().columns, "percentile", source="raw", target="interim")
+
+
+@query
+def boost_results(s: Stages) -> DataFrame:
+    """Fold and summary rows of boosting in the stored form: counts and the presence of errors."""
+    results = profile.results_from(s.boosted_predictions(), ["n_estimators", "learning_rate"])
+    return results.groupBy("model", "config_id", "row_type", "n_estimators", "learning_rate").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_test").alias("n_test"),
+        F.count_if((F.col("mae") > 0) & (F.col("mae") <= F.col("rmse"))).alias("n_errors"),
+    )
+
+
 @query
 def clean_tickets(s: Stages) -> DataFrame:
     return clean.cut_outliers(s.unique())

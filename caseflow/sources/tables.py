@@ -37,6 +37,27 @@ def latest_interim(names: Sequence[str]) -> str:
     raise FileNotFoundError("no interim table found: run the cleaning step first")
 
 
+def stored_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the tables in a folder of any storage that Spark can list."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in files.listStatus(path)) if files.exists(path) else []
+
+
+def find_interim(spark: SparkSession, folder: str) -> str:
+    """Path of the newest interim table in a folder."""
+    return f"{folder.rstrip('/')}/{latest_interim(stored_names(spark, folder))}"
+
+
+def find_tag(spark: SparkSession, folder: str, prefix: str = "feature_spec_") -> str:
+    """The newest tag for which the folder holds a feature specification."""
+    tags = sorted(n[len(prefix):].removesuffix(".json") for n in stored_names(spark, folder) if n.startswith(prefix))
+    if not tags:
+        raise FileNotFoundError("no processed table found: run the feature step first")
+    return tags[-1]
+
+
 def write_interim(df: DataFrame, path: str) -> None:
     lowered = path.rstrip("/").lower()
     if lowered.endswith(".parquet"):

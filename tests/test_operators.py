@@ -184,6 +184,15 @@ def test_tables(spark, tmp_path):
     assert tables.latest_interim(["a_2.csv", "a_1.parquet"]) == "a_1.parquet"
     with pytest.raises(FileNotFoundError):
         tables.latest_interim([])
+    for day in ("2024-01-01", "2025-01-01"):
+        tables.write_interim(df, f"{tmp_path}/interim/tickets_{day}.parquet")
+        tables.write_spec(spark, tables.FeatureSpec(day, "i", "now"), f"{tmp_path}/interim/feature_spec_{day}.json")
+    assert tables.find_interim(spark, f"{tmp_path}/interim") == f"{tmp_path}/interim/tickets_2025-01-01.parquet"
+    assert tables.find_tag(spark, f"{tmp_path}/interim") == "2025-01-01"
+    with pytest.raises(FileNotFoundError):
+        tables.find_interim(spark, f"{tmp_path}/nowhere")
+    with pytest.raises(FileNotFoundError):
+        tables.find_tag(spark, f"{tmp_path}/t.csv")
     tables.write_bundle(df, f"{tmp_path}/bundle")
     assert rows(tables.read_bundle(spark, f"{tmp_path}/bundle").where("fold = 0"), "unique_key") == [("1",)]
     spec = tables.FeatureSpec("t", "i", "now", categorical_cols=["agency"])

@@ -6,7 +6,7 @@ from caseflow.plans import queries as registry
 from conftest import SMALL
 from oracle_check import compare, duck
 
-SLOW = {"rf_oof", "cv_grid", "model_compare", "boost_oof"}
+SLOW = {"rf_oof", "cv_grid", "model_compare", "boost_oof", "boost_results"}
 
 
 @pytest.fixture(scope="module")
