@@ -20,9 +20,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import SPACE
+from .shared import SPACE, held
 
 NOT_SPACE = r"[^\x20\x09-\x0D]"
+BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS, MARKS = "[#*$%&|<>]", r"[.,;:!?'\"()-]"
 CLASSES = ("lower", "space", "upper", "digit", "mark", "symbol", "other")
 #: Words in a repeated window; fewest words; most words in repeated windows, in hundredths.
@@ -47,17 +48,18 @@ class Reference:
 
 def measured(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     """keep, words, n_words, word_chars, n_symbols, and the count of each character class."""
-    text = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    words = text.select(*keep, "t", F.filter(F.split("t", SPACE), lambda w: w != "").alias("words"), F.regexp_replace("t", r"\p{Ll}+", "").alias("t1"))
-    rest = words.select(*keep, "t", "words", F.length("t").alias("n_chars"), F.length("t1").alias("n1"), F.regexp_replace("t1", SPACE, "").alias("t2"))
+    text = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("t")).withColumn("trimmed", F.btrim("t", F.lit(BLANKS)))
+    split = F.when(F.col("trimmed") == "", F.array().cast("array<string>")).otherwise(F.split("trimmed", SPACE))
+    words = text.select(*keep, "t", split.alias("words")).withColumn("solid", F.array_join("words", ""))
+    rest = words.select(*keep, "t", "words", F.length("t").alias("n_chars"), F.length("solid").alias("n1"), F.regexp_replace("solid", r"\p{Ll}+", "").alias("t2"))
     counted = rest.select(
         *keep,
         "t",
         "words",
         F.size("words").cast("long").alias("n_words"),
-        (F.col("n_chars") - F.col("n1") + F.length("t2")).cast("long").alias("word_chars"),
-        (F.col("n_chars") - F.col("n1")).alias("lower"),
-        (F.col("n1") - F.length("t2")).alias("space"),
+        F.col("n1").cast("long").alias("word_chars"),
+        (F.col("n1") - F.length("t2")).alias("lower"),
+        (F.col("n_chars") - F.col("n1")).alias("space"),
         F.regexp_count("t2", F.lit(r"\p{Lu}")).alias("upper"),
         F.regexp_count("t2", F.lit(r"\p{N}")).alias("digit"),
         F.regexp_count("t2", F.lit(MARKS)).alias("mark"),
@@ -72,7 +74,7 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     """References of all languages with a share of the words; their number is bounded by that share."""
     known = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("l"), F.col(text_col).alias("text"))
     totals = measured(known, "text", ["l"]).groupBy("l").agg(F.sum("n_words").alias("n"), *(F.sum(c).alias(c) for c in CLASSES))
-    totals = totals.where(F.col("n") > 0)
+    totals = held(totals.where(F.col("n") > 0))  # a row for each label; read twice
     bounded = totals.join(F.broadcast(totals.agg(F.sum("n").alias("all"))), F.col("n") >= LEAST_SHARE * F.col("all"))
     by_language = {r.l: r for r in bounded.collect()}
     short = F.filter(F.split(F.lower("text"), SPACE), lambda w: (w != "") & (F.length(w) <= SHORT))
