@@ -119,11 +119,20 @@ def _word_shares(short: Column, n_words: Column, words: list[str]) -> Column:
 def _repeated_words(df: DataFrame, keep: list[str]) -> DataFrame:
     """keep and n_repeat_words: words in windows of five that the text of column `words` holds twice."""
     n = F.size("words")
-    starts = F.when(n >= WINDOW, F.sequence(F.lit(1), n - (WINDOW - 1))).otherwise(F.array().cast("array<int>"))
-    hashed = df.withColumn("h", F.transform(starts, lambda i: F.xxhash64(*(F.element_at("words", i + k) for k in range(WINDOW)))))
+
+    def paired(one: str, other: str, start: int, length: Column) -> Column:
+        """Hashes of one's values, each with that of other `start - 1` places on."""
+        length = F.greatest(F.lit(0), length)
+        return F.zip_with(F.slice(one, 1, length), F.slice(other, start, length), lambda a, b: F.xxhash64(a, b))
+
+    # Windows of two, four and five words are hashed from shorter ones; a text without a repeated
+    # window of four has none of five.
+    one = df.withColumn("h1", F.transform("words", lambda w: F.xxhash64(w)))
+    two = one.withColumn("h2", paired("h1", "h1", 2, n - 1))
+    four = two.withColumn("h4", paired("h2", "h2", 3, n - 3)).drop("h2")
     few = F.array().cast("array<struct<h:bigint,i:int>>")
-    indexed = F.array_sort(F.transform("h", lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
-    ordered = hashed.withColumn("s", F.when(F.size(F.array_distinct("h")) < F.size("h"), indexed).otherwise(few)).drop("h")
+    indexed = F.array_sort(F.transform(paired("h4", "h1", WINDOW, n - 4), lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+    ordered = four.withColumn("s", F.when(F.size(F.array_distinct("h4")) < F.size("h4"), indexed).otherwise(few)).drop("h1", "h4")
 
     def again(e: Column, k: Column) -> Column:
         before, after = F.get("s", k - 1), F.get("s", k + 1)
