@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +28,18 @@ def held(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Inside, at most so many rows go to Python at a time; for eager work on wide rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def doc_key(id_col: str, text_col: str) -> Column:
     """A key of a document's row that also holds for null and repeated ids.
 

@@ -158,6 +158,7 @@ def test_compact_windows_cover_every_passage():
             for j in range(i + 9, 60):
                 hit = [c for left, c, right in found if left <= i <= c <= j <= right]
                 assert len(hit) == 1 and values[hit[0]] == values[i : j + 1].min()
+        assert {int(values[c]) for _, c, _ in found} == set(windows.least_values(values.astype(np.uint64), 10).tolist())
 
 
 def test_passages(spark, folder, rows):
