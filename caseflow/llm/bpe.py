@@ -27,7 +27,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 FIRST = 0x100
 UNKNOWN = "<unk>"
 #: Pieces whose ids a task remembers, and texts that it splits at a time; neither changes a result.
-CACHED, AT_ONCE = 300_000, 64
+CACHED, AT_ONCE = 60_000, 64
 
 _IN_PROCESS: dict[tuple, object] = {}
 

@@ -74,7 +74,7 @@ def prefiltered(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 class BoundedCache(dict):
     """A dict that fills itself from a function and starts anew when it has grown to its bound."""
 
-    def __init__(self, make, bound: int = 300_000, longest: int = 64):
+    def __init__(self, make, bound: int = 60_000, longest: int = 64):
         super().__init__()
         self.make, self.bound, self.longest = make, bound, longest
 

@@ -78,7 +78,7 @@ class Counter:
         special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.pieces = regex.compile(pattern).findall
-        self.cache = BoundedCache(lambda t: merged_count([self.of_byte[b] for b in t.encode()], self.merges))
+        self.cache = BoundedCache(lambda t: merged_count([self.of_byte[b] for b in t.encode()], self.merges), bound=300_000)
 
     def count(self, text: str) -> int:
         parts = self.special.split(text) if self.special else [text]
