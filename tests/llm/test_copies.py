@@ -186,6 +186,36 @@ def test_passages(spark, folder, rows):
     assert len(ranges) == 5 and all(15 <= a <= 20 and 80 <= b <= 85 for a, b in ranges)
 
 
+def passage_words(rng, n):
+    return " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+
+
+def test_passages_with_repeated_phrases():
+    """Every place of a shingle counts: short phrases repeated, and lines that also stand apart before."""
+    rng = random.Random(8)
+    for period in (1, 3, 5, 70):
+        phrase = " ".join([passage_words(rng, period)] * -(-60 // period))
+        n = len(phrase.split())
+        one, other = (windows.shingles(f"{passage_words(rng, k)} {phrase} {passage_words(rng, 30)}") for k in (20, 33))
+        for found, k in zip(windows.shared_passages(one, other, 46, 0.8), (20, 33)):
+            assert len(found) == 1 and k - 5 <= found[0][0] <= k and k + n - 4 <= found[0][1] <= k + n + 1
+    first, second = passage_words(rng, 25), passage_words(rng, 25)
+    one = windows.shingles(f"{passage_words(rng, 9)} {first} {second} {passage_words(rng, 9)}")
+    other = windows.shingles(f"{second} {passage_words(rng, 30)} {first} {passage_words(rng, 30)} {first} {second}")
+    assert all(windows.shared_passages(one, other, 46, 0.8)) and all(windows.shared_passages(other, one, 46, 0.8))
+
+
+def test_repeated_stretches_against_every_diagonal():
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    for k in range(150):
+        part = np.tile(rng.integers(0, 9, 7 if k % 3 else 90), 40 if k % 3 else 2)
+        one, other = (np.concatenate((rng.integers(0, 60, rng.integers(0, 60)), part[: rng.integers(20, 280)], rng.integers(0, 60, 50))) for _ in range(2))
+        want = [r for d in range(-len(one), len(other)) for r in windows.alike(one, other, d, 46, 0.8)]
+        assert windows.joined([r[:2] for r in windows.repeated(one, other, 46, 0.8)]) == windows.joined(want)
+
+
 def test_empty_tables(spark, empty_folder):
     for name in ("op3_passages", "op4_simhash", "op6_line_dedup"):
         assert queries.QUERIES[name](spark, empty_folder).collect() == []
