@@ -216,6 +216,30 @@ def test_repeated_stretches_against_every_diagonal():
         assert windows.joined([r[:2] for r in windows.repeated(one, other, 46, 0.8)]) == windows.joined(want)
 
 
+def test_passages_behind_a_frequent_sentence(spark):
+    """Pairs that share a passage are found although its least hashes lie in a sentence of many texts."""
+    rng = random.Random(10)
+    sentence = passage_words(rng, 42)
+    texts = [f"{passage_words(rng, 20)} {sentence} {passage_words(rng, 20)}" for _ in range(60)]
+    for _ in range(10):
+        before, after = passage_words(rng, 4), passage_words(rng, 4)
+        texts += [f"{passage_words(rng, 20)} {before} {sentence} {after} {passage_words(rng, 20)}" for _ in range(2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in windows.repeated_passages(docs).collect()}
+    for i in range(60, 80, 2):
+        for k in (i, i + 1):
+            assert got[k].class_id == i and [(p.start, p.end) for p in got[k].passages] and got[k].n_links == 1
+    assert all(got[i].class_id == i and not got[i].passages for i in range(60))
+
+
+def test_links_of_few_texts_are_all_counted(spark):
+    rng = random.Random(11)
+    passage = passage_words(rng, 60)
+    docs = [(i, f"{passage_words(rng, 20)} {passage} {passage_words(rng, 20)}") for i in range(7)] + [(i, passage_words(rng, 80)) for i in (8, 9)]
+    got = {r.doc_id: r.n_links for r in windows.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {**dict.fromkeys(range(7), 6), 8: 0, 9: 0}
+
+
 def test_empty_tables(spark, empty_folder):
     for name in ("op3_passages", "op4_simhash", "op6_line_dedup"):
         assert queries.QUERIES[name](spark, empty_folder).collect() == []
