@@ -1,8 +1,9 @@
 """Line dedup by a deletion-neighbourhood join over words.
 
 Lines are compared as their lower-cased words. Of every line the earliest occurrence stays (by document
-id, then line number); later equal lines go, and so does a line of at least `near` words that is within
-one word edit (a word put in, left out or replaced) of an earlier line.
+id, then line number); later equal lines go, and so does a line of at least `near` words or LONG
+characters that is within one edit (a symbol put in, left out or replaced) of an earlier such line. Symbols
+are words, or characters in lines of fewer than FEW_WORDS words, as in scripts without spaces.
 
 Equal lines are grouped by a 128-bit hash. For the rest, a pair within one edit shares the words before
 or after the middle, so lines that share neither half with another line are done. The remaining ones
@@ -11,7 +12,7 @@ variants (and the variant of one that equals another as it is) meet in a join on
 linked to the group's earliest. The word edit distance of every such link is then verified. Groups are
 only ever reduced to their earliest member, never gathered or paired out.
 
-Results: null text has no lines; lines of fewer than `least` words are left alone. Documents keep their
+Results: null text has no lines; lines of fewer than `least` words (those without any) are left alone. Documents keep their
 row; apply() drops those that had lines and lost them all. Documents with equal id and text are one
 document and are treated alike; null ids come last. Other columns are untouched; apply() replaces only
 the text. An empty table gives no rows.
@@ -29,7 +30,9 @@ from .rolling import INVERSE, mixed, powers, prefix_sums, word_hashes
 from .shared import held, prefiltered
 
 #: Fewest words of a line that is compared at all, and of one that an edited line can match.
-LEAST, NEAR = 3, 8
+LEAST, NEAR = 1, 8
+#: Characters from which lines of fewer words can match edited ones too; words below which characters are compared.
+LONG, FEW_WORDS = 20, 4
 
 
 def _halves(n: np.ndarray | int):
@@ -45,24 +48,34 @@ def line_words(line: str) -> list[str]:
     return line.lower().split()
 
 
+def line_symbols(words: list[str]) -> list[str]:
+    """What edits are counted in: words, or characters, marked as such."""
+    return words if len(words) >= FEW_WORDS else ["\0" + c for c in " ".join(words)]
+
+
 def marks_of(text: str | None, least: int, near: int) -> tuple:
     """Columns (line, words, two hashes of the line, two packed pairs of half keys) of a text's lines."""
     from xxhash import xxh3_128_intdigest
 
     split = [(i, w) for i, x in enumerate(text_lines(text)) if len(w := line_words(x)) >= least]
     at, n = np.array([i for i, _ in split], np.int32), np.array([len(w) for _, w in split], np.int64)
-    digest = b"".join(xxh3_128_intdigest(" ".join(w)).to_bytes(16, "little") for _, w in split)
+    whole_lines = [" ".join(w) for _, w in split]
+    digest = b"".join(xxh3_128_intdigest(x).to_bytes(16, "little") for x in whole_lines)
     whole = np.frombuffer(digest, np.int64).reshape(-1, 2)
     keys = np.zeros((len(split), 4), np.uint64)
-    if (n >= near).any():
-        sums = prefix_sums(word_hashes([x for _, w in split for x in w]))
+    open_to = np.flatnonzero((n >= near) | (np.array(list(map(len, whole_lines)), np.int64) >= LONG))
+    if len(open_to):
+        symbols = [line_symbols(split[i][1]) for i in open_to.tolist()]
+        sums = prefix_sums(word_hashes([x for s in symbols for x in s]))
         _, inverse = powers(len(sums))
-        ends = np.cumsum(n)
-        starts = ends - n
-        for k, (m, before, after) in enumerate(_halves(n)):
-            keys[:, 2 * k] = mixed((sums[starts + before] - sums[starts]) * inverse[starts], 2 * m)
-            keys[:, 2 * k + 1] = mixed((sums[ends] - sums[ends - after]) * inverse[ends - after], 2 * m + 1)
-        keys = np.where((n >= near)[:, None], keys >> np.uint64(33) | np.uint64(1 << 31), 0).astype(np.uint64)
+        size = np.array(list(map(len, symbols)), np.int64)
+        ends = np.cumsum(size)
+        starts = ends - size
+        made = np.zeros((len(size), 4), np.uint64)
+        for k, (m, before, after) in enumerate(_halves(size)):
+            made[:, 2 * k] = mixed((sums[starts + before] - sums[starts]) * inverse[starts], 2 * m)
+            made[:, 2 * k + 1] = mixed((sums[ends] - sums[ends - after]) * inverse[ends - after], 2 * m + 1)
+        keys[open_to] = made >> np.uint64(33) | np.uint64(1 << 31)
     packed = (keys[:, 0::2] << np.uint64(32) | keys[:, 1::2]).astype(np.int64)
     return at, n.astype(np.int32), whole[:, 0], whole[:, 1], packed[:, 0], packed[:, 1]
 
@@ -120,11 +133,11 @@ def variants(words: pa.Array, before: pa.Array, after: pa.Array) -> pa.Array:
 
 @F.arrow_udf(ArrayType(ArrayType(LongType())))
 def words_at(texts: pa.Array, lines: pa.Array) -> pa.Array:
-    """Word hashes of the given lines of each text."""
+    """Symbol hashes of the given lines of each text."""
     out = []
     for text, at in zip(texts.to_pylist(), lines.to_pylist(), strict=True):
         split = text_lines(text)
-        out.append([word_hashes(line_words(split[i])).view(np.int64) for i in at])
+        out.append([word_hashes(line_symbols(line_words(split[i]))).view(np.int64) for i in at])
     return pa.array(out, pa.list_(pa.list_(pa.int64())))
 
 

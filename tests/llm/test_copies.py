@@ -138,6 +138,15 @@ def test_apply_removes_lines_and_empty_documents(spark):
     assert got == {1: (docs[0][1], "l"), 2: ("other line here", "l"), 4: (None, "l"), 5: ("", "l")}
 
 
+def test_short_lines_and_lines_without_spaces(spark):
+    """Lines of one word are compared, edits of long lines of few words too, by characters in one word."""
+    chinese = "".join(chr(0x4E00 + 7 * i) for i in range(30))
+    first = ["Read more", "Advertisement", chinese, "Copyright 2019 Example Inc", "a b c d e f g h i j k l m n o p q r s t", "one two six"]
+    later = ["read  more", "ADVERTISEMENT", chinese[:12] + chinese[13:], "Copyright 2020 Example Inc", "abcdefghijklmnopqrst", "one two ten", chinese[:9]]
+    docs = spark.createDataFrame([(1, "\n".join(first)), (2, "\n".join(later)), (3, "?\n\n \n?")], "doc_id long, text string")
+    assert {r.id: r.lines for r in lines.removed_lines(docs).collect()} == {2: [0, 1, 2, 3], 3: [3]}
+
+
 def test_repeated_rows_are_one_document(spark):
     docs = spark.createDataFrame([(1, "one two three")] * 3 + [(2, "one two three")], "doc_id long, text string")
     assert [r.doc_id for r in lines.apply(docs).collect()] == [1, 1, 1]
