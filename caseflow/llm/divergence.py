@@ -5,7 +5,8 @@ texts. The others are compared with references of their language: the shares of
 (lower case, upper case, space, digit, sentence mark, symbol, other) and the shares of the language's
 most common short words. Both are distributions; their Jensen-Shannon distance (base 2, from 0 to 1)
 to the nearest reference must stay below a threshold. References are learned from all documents of
-a language; texts below a minimum length are not judged by divergence, and neither is any text while
+a language, for every language that has a word: those of frequent languages are written into the query,
+the others are kept in a table; texts below a minimum length are not judged by divergence, and neither is any text while
 there is no reference.
 
 Results: null text has no words and fails; empty text likewise. Lines count as repeated only if they
@@ -32,7 +33,7 @@ WINDOW, LEAST_WORDS, MOST_REPEATED = 5, 10, 20
 COMMON, SHORT = 12, 4
 #: Words from which divergence is judged, and the largest distances of the two histograms.
 JUDGED_WORDS, MOST_CLASS_DISTANCE, MOST_WORD_DISTANCE = 50, 0.3, 0.28
-#: Smallest share of all words for which a language gets a reference: at most 1000 languages do.
+#: Smallest share of all words for which a language's reference is written into the query: at most 1000 are.
 LEAST_SHARE = 0.001
 
 
@@ -70,18 +71,22 @@ def measured(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     return counted.withColumns({"other": other, "n_symbols": F.col("symbol").cast("long")}).drop("n2")
 
 
-def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> list[Reference]:
-    """References of all languages with a share of the words; their number is bounded by that share."""
+def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[list[Reference], DataFrame | None]:
+    """References of all languages with a share of the words, whose number that share bounds, and a
+    table (classes, words, word_shares) of all others' if there are any."""
     known = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("l"), F.col(text_col).alias("text"))
     totals = measured(known, "text", ["l"]).groupBy("l").agg(F.sum("n_words").alias("n"), *(F.sum(c).alias(c) for c in CLASSES))
-    totals = held(totals.where(F.col("n") > 0))  # a row for each label; read twice
-    bounded = totals.join(F.broadcast(totals.agg(F.sum("n").alias("all"))), F.col("n") >= LEAST_SHARE * F.col("all"))
+    totals = held(totals.where(F.col("n") > 0))  # a row for each label; read again
+    frequent = F.col("n") >= LEAST_SHARE * F.col("all")
+    shared = totals.join(F.broadcast(totals.agg(F.sum("n").alias("all"))))
+    bounded, rare = shared.where(frequent), shared.where(~frequent)
     by_language = {r.l: r for r in bounded.collect()}
     short = F.filter(F.split(F.lower("text"), SPACE), lambda w: (w != "") & (F.length(w) <= SHORT))
     counts = known.select("l", F.explode(short).alias("word")).groupBy("l", "word").agg(F.count("*").alias("n"))
     ranked = counts.withColumn("rank", F.row_number().over(Window.partitionBy("l").orderBy(F.desc("n"), "word")))
     common: dict[str, list] = {}
-    for r in ranked.where(F.col("rank") <= COMMON).where(F.col("l").isin(list(by_language))).collect():
+    ranked = ranked.where(F.col("rank") <= COMMON)
+    for r in ranked.where(F.col("l").isin(list(by_language))).collect():
         common.setdefault(r.l, []).append(r)
     out = []
     for language, r in sorted(by_language.items()):
@@ -89,16 +94,27 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
         words = sorted(common.get(language, []), key=lambda x: x["rank"])
         shares = [x.n / r.n for x in words]
         out.append(Reference(language, [r[c] / chars for c in CLASSES], [x.word for x in words], [*shares, max(0.0, 1 - sum(shares))]))
-    return out
+    return out, None if rare.isEmpty() else held(_reference_table(rare, ranked))
+
+
+def _reference_table(totals: DataFrame, ranked: DataFrame) -> DataFrame:
+    """Rows (classes, words, word_shares), as in Reference, of the languages in totals."""
+    own = totals.select("l", F.col("n").alias("total"))
+    words = ranked.join(own, "l").groupBy("l").agg(F.array_sort(F.collect_list(F.struct("rank", "word", (F.col("n") / F.col("total")).alias("share")))).alias("common"))
+    chars = sum((F.col(c) for c in CLASSES[1:]), F.col(CLASSES[0]))
+    common = F.coalesce(F.col("common"), F.array().cast("array<struct<rank:int,word:string,share:double>>"))
+    shares = totals.join(words, "l", "left").select(F.array(*(F.col(c) / chars for c in CLASSES)).alias("classes"), common["word"].alias("words"), common["share"].alias("shares"))
+    rest = F.greatest(F.lit(0.0), F.lit(1.0) - _sum(F.col("shares")))
+    return shares.select("classes", "words", F.concat("shares", F.array(rest)).alias("word_shares"))
 
 
 def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
 
 
-def js_distance(p: Column, q: list[float]) -> Column:
-    """Jensen-Shannon distance between a column of shares and fixed shares."""
-    ref = F.array(*(F.lit(float(x)) for x in q))
+def js_distance(p: Column, q: list[float] | Column) -> Column:
+    """Jensen-Shannon distance between a column of shares and fixed shares or another column."""
+    ref = q if isinstance(q, Column) else F.array(*(F.lit(float(x)) for x in q))
 
     def part(x: Column, y: Column) -> Column:
         return F.when(x > 0, x * F.log2(2 * x / (x + y))).otherwise(0.0)
@@ -116,6 +132,13 @@ def _word_shares(short: Column, n_words: Column, words: list[str]) -> Column:
     return F.array(*shares, F.greatest(F.lit(0.0), rest))
 
 
+def _listed_shares(short: Column, n_words: Column, words: Column) -> Column:
+    """As _word_shares, for words in an array."""
+    less = lambda w: F.length(short) - F.length(F.replace(short, F.concat(F.lit(" "), w, F.lit(" ")), F.lit("")))
+    shares = F.transform(words, lambda w: less(w) / (F.length(w) + 2) / n_words)
+    return F.concat(shares, F.array(F.greatest(F.lit(0.0), F.lit(1.0) - _sum(shares))))
+
+
 def _repeated_words(df: DataFrame, keep: list[str]) -> DataFrame:
     """keep and n_repeat_words: words in windows of five that the text of column `words` holds twice."""
     n = F.size("words")
@@ -151,8 +174,11 @@ def _repeated_words(df: DataFrame, keep: list[str]) -> DataFrame:
     return placed.select(*keep, covered.alias("n_repeat_words"))
 
 
-def judge(docs: DataFrame, refs: list[Reference], text_col: str = "text") -> DataFrame:
-    """The documents with the counts, base_failed, class_distance, word_distance and kept."""
+def judge(docs: DataFrame, refs: list[Reference], text_col: str = "text", rest: DataFrame | None = None) -> DataFrame:
+    """The documents with the counts, base_failed, class_distance, word_distance and kept.
+
+    `rest` has the references that are not in `refs`, a row for each.
+    """
     made = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "kept")
     inner = docs.select(F.struct(*(c for c in docs.columns if c not in made)).alias("row"), F.col(text_col).alias("text"))
     base = measured(inner, "text", ["row"])
@@ -167,12 +193,16 @@ def judge(docs: DataFrame, refs: list[Reference], text_col: str = "text") -> Dat
     n = F.greatest(F.lit(1), F.col("n_words"))
     class_distance = [js_distance(F.col("classes"), r.classes) for r in refs]
     word_distance = [js_distance(_word_shares(F.col("short"), n, r.words), r.word_shares) for r in refs]
+    if rest is not None:
+        shares = shares.crossJoin(F.broadcast(rest.agg(F.collect_list(F.struct("classes", "words", "word_shares")).alias("rest"))))
+        class_distance.append(F.array_min(F.transform("rest", lambda r: js_distance(F.col("classes"), r["classes"]))))
+        word_distance.append(F.array_min(F.transform("rest", lambda r: js_distance(_listed_shares(F.col("short"), n, r["words"]), r["word_shares"]))))
     none = F.lit(None).cast("double")
     far = shares.withColumns({
-        "class_distance": F.array_min(F.array(*class_distance)) if refs else none,
-        "word_distance": F.array_min(F.array(*word_distance)) if refs else none,
+        "class_distance": F.array_min(F.array(*class_distance)) if class_distance else none,
+        "word_distance": F.array_min(F.array(*word_distance)) if word_distance else none,
     })
     within = (F.col("class_distance") <= MOST_CLASS_DISTANCE) & (F.col("word_distance") <= MOST_WORD_DISTANCE)
-    fits = within if refs else F.lit(True)
+    fits = within if class_distance else F.lit(True)
     verdict = ~F.col("base_failed") & ((F.col("n_words") < JUDGED_WORDS) | fits)
     return far.withColumn("kept", verdict).select("row.*", *made)

@@ -102,7 +102,8 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document and whether its distributions fit a language's references."""
     docs = _documents(spark, sf_dir)
-    judged = divergence.judge(docs.select("doc_id", "text"), divergence.references(docs))
+    refs, rest = divergence.references(docs)
+    judged = divergence.judge(docs.select("doc_id", "text"), refs, rest=rest)
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged.select("doc_id", *counts, "base_failed", "kept", "class_distance", "word_distance")
 

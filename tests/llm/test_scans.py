@@ -126,6 +126,27 @@ def test_quality_verdicts(spark):
     assert judged.where("kept = base_failed").count() == 0  # without references only the counts decide
 
 
+def test_rare_languages_have_references(spark, monkeypatch):
+    """A clean text of a language with few words is judged by that language too, as if it were frequent."""
+    rng = random.Random(12)
+
+    def prose(common, n, letters):
+        return " ".join(rng.choice(common) if rng.random() < 0.4 else "".join(rng.choice(letters) for _ in range(7)) for _ in range(n))
+
+    rows = [(i, prose(["the", "of", "and", "to"], 2000, "abcdefgh"), "en") for i in range(60)] + [(100 + i, prose(["xu", "yo", "wi", "zu"], 55, "stuvwxyz"), "xx") for i in range(2)]
+    docs = spark.createDataFrame([*rows, (200, prose(["xu", "yo", "wi", "zu"], 80, "stuvwxyz"), None)], "doc_id long, text string, lang string")
+    refs, rest = divergence.references(docs)
+    assert [r.language for r in refs] == ["en"] and rest.count() == 1
+    judged = {r.doc_id: r for r in divergence.judge(docs, refs, rest=rest).collect()}
+    assert all(r.kept for r in judged.values())
+    assert not any(r.kept for r in divergence.judge(docs, refs).where("doc_id >= 100").collect())
+    monkeypatch.setattr(divergence, "LEAST_SHARE", 0.0)
+    refs, rest = divergence.references(docs)
+    assert len(refs) == 2 and rest is None
+    for r in divergence.judge(docs, refs).collect():
+        assert (r.class_distance, r.word_distance) == pytest.approx((judged[r.doc_id].class_distance, judged[r.doc_id].word_distance))
+
+
 def test_divergence_by_hand(spark):
     import math
 
