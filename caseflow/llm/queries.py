@@ -8,7 +8,7 @@ import public_tokenizers as vocabularies
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, divergence, language, lines, pii, secrets, simhash, tokencount, windows
+from . import bpe, decontaminate, divergence, fim, language, lines, pii, secrets, simhash, tokencount, windows
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,6 +123,17 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (F.size("matches") > 0).alias("contaminated"), F.size("matches").cast("long").alias("n_items"), items.alias("item_ids"), F.array_min("matches.edits").alias("least_edits"))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units, form and cuts of every document, with digests of its output and of the text rebuilt from it."""
+    made = fim.transform(_documents(spark, sf_dir).select("doc_id", "text"))
+    own = F.col("fim")
+    again = fim.restored(own["output"], own["form"])
+    return made.select(
+        "doc_id", own["n"].alias("n"), own["form"].alias("form"), own["prefix_chars"].alias("prefix_chars"), own["middle_chars"].alias("middle_chars"),
+        F.sha2(own["output"].cast("binary"), 256).alias("output_sha256"), F.sha2(again.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_codec": op1_bpe_codec,
     "op2_language_id": op2_language_id,
@@ -134,6 +145,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_divergence": op8_divergence,
     "op9_token_counts": op9_token_counts,
     "op10_decontaminate": op10_decontaminate,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
-ORACLE: dict[str, str] = {}
+#: Statements for the operators that SQL can express.
+ORACLE: dict[str, str] = {
+    "op13_fill_in_middle": r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+    sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents),
+drawn AS (
+  SELECT doc_id, t, u, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS a, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 50 THEN 'plain'
+         WHEN ('0x' || h[25:32])::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut),
+parts AS (
+  SELECT doc_id, t, n, form, array_to_string(u[1:least(a, b)], '') AS p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS m,
+    array_to_string(u[greatest(a, b) + 1:], '') AS s
+  FROM drawn)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE t END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts""",
+}
