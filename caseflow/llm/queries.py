@@ -8,7 +8,7 @@ import public_tokenizers as vocabularies
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, divergence, fim, language, lines, pii, secrets, simhash, tokencount, windows
+from . import bloomlm, bpe, decontaminate, divergence, fim, language, lines, pii, secrets, simhash, tokencount, whitening, windows
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,6 +123,21 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (F.size("matches") > 0).alias("contaminated"), F.size("matches").cast("long").alias("n_items"), items.alias("item_ids"), F.array_min("matches.edits").alias("least_edits"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector on the leading components, each of unit variance over all of them."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return whitening.whiten(vectors, "vec_id", "embedding")
+
+
+def op12_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact base score and the model's score of every document; a seventh of them is not learned from."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    model = bloomlm.learn(docs, "text", ~held_out)
+    found = bloomlm.score(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Units, form and cuts of every document, with digests of its output and of the text rebuilt from it."""
     made = fim.transform(_documents(spark, sf_dir).select("doc_id", "text"))
@@ -145,6 +160,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_divergence": op8_divergence,
     "op9_token_counts": op9_token_counts,
     "op10_decontaminate": op10_decontaminate,
+    "op11_whitening": op11_whitening,
+    "op12_lm_score": op12_lm_score,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
