@@ -1,25 +1,30 @@
 """Cross-validated runs: every split fits on the other folds and predicts its own.
 
-The driver only loops over configurations and splits; each fit, encoding and scoring is a
-Spark job. Preprocessing is fitted once per split and shared by all configurations, and the
-predictions of the grid are kept, so the best configuration is never fitted a second time.
+The driver only loops over configurations and splits; each fit, encoding and scoring is a Spark job.
+Preprocessing is fitted once per split and shared by all configurations. Forests that differ only in
+the number or the depth of their trees are grown once: the smaller ones are read from the largest
+one's tree table, since a greedy tree that may use all columns splits its upper levels alike under any
+depth limit. Finished fits are stored with their model in a ledger, so a run that was stopped goes on
+with what is missing, and the best configuration is never fitted a second time.
 """
 
 from __future__ import annotations
 
+import threading
+import time
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseflow.models import boosting, forest
-from caseflow.models.design import Fitted, boosting_table, split_design
+from caseflow.models import boosting, forest, ledger, tree_table
+from caseflow.models.design import Fitted, boosting_table, encoded
+from caseflow.models.ledger import Ledger
 from caseflow.operators import folds
 from caseflow.operators.evaluate import RUN
 from caseflow.schema import KEY
-from caseflow.session import materialise
+from caseflow.session import new_path
 
 CONCURRENT_FITS = 4
 
@@ -27,16 +32,6 @@ FOREST = "random_forest_regressor"
 BOOSTED = "boosted_trees_regressor"
 
 
-def _union(parts: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _each(jobs: Sequence[Callable[[], DataFrame]], concurrent: int) -> list[DataFrame]:
-    """Run independent fits side by side, in order of submission."""
-    with ThreadPoolExecutor(max_workers=concurrent) as pool:
-        return [f.result() for f in [pool.submit(job) for job in jobs]]
-
-
 def _tagged(preds: DataFrame, model: str, tag: str, config: dict) -> DataFrame:
     params = {k: v for k, v in config.items() if k != "config_id"}
     labelled = preds.withColumns(
@@ -46,6 +41,32 @@ def _tagged(preds: DataFrame, model: str, tag: str, config: dict) -> DataFrame:
     return labelled.select(*RUN, *params, KEY, "fold", "y_true", "y_pred")
 
 
+def _ledger(bundle: DataFrame, store: Ledger | None) -> Ledger:
+    spark = bundle.sparkSession
+    return store or Ledger(spark, new_path(spark, "runs"))
+
+
+def families(configs: Sequence[dict]) -> list[list[dict]]:
+    """Forest configurations in groups that one forest serves: the same smallest leaf."""
+    found: dict[int, list[dict]] = {}
+    for config in configs:
+        found.setdefault(config["min_samples_leaf"], []).append(config)
+    return list(found.values())
+
+
+def _once(make: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
+    """A table that is made when first asked for, by one thread."""
+    lock, made = threading.Lock(), []
+
+    def get() -> DataFrame:
+        with lock:
+            if not made:
+                made.append(make())
+            return made[0]
+
+    return get
+
+
 def forest_grid(
     bundle: DataFrame,
     fitted: Fitted,
@@ -54,24 +75,44 @@ def forest_grid(
     configs: Sequence[dict],
     tag: str,
     n_splits: int,
+    store: Ledger | None = None,
     concurrent: int = CONCURRENT_FITS,
 ) -> DataFrame:
-    """Out-of-fold predictions of every configuration; one written table per split."""
-
-    def run(split: int) -> DataFrame:
-        design = split_design(fitted, split, categorical, numeric)
-        encoded = materialise(
-            design.vectors(bundle, [KEY, "fold", "y"]), f"forest_{split}", partition_by=["fold"]
-        )
-        test = folds.test_rows(encoded, split)
-        train = folds.train_rows(encoded, split)
+    """Out-of-fold predictions of every configuration. Fits that ``store`` holds are not done
+    again; without one, nothing is kept beyond this run."""
+    store = _ledger(bundle, store)
+    done = store.finished()
+
+    def grow(split: int, design: Callable[[], DataFrame], family: list[dict]) -> None:
+        began = time.time()
+        largest = {
+            "n_estimators": max(c["n_estimators"] for c in family),
+            "max_depth": max(c["max_depth"] for c in family),
+            "min_samples_leaf": family[0]["min_samples_leaf"],
+        }
+        model = forest.fit(folds.train_rows(design(), split), largest)
+        whole = tree_table.of_forest(bundle.sparkSession, model, largest["max_depth"])
+        test = folds.test_rows(design(), split).withColumnRenamed("y", "y_true").drop("features")
+        seconds = time.time() - began
+        missing = [c for c in family if (FOREST, c["config_id"], split) not in done]
+        parts = [(c["n_estimators"], c["max_depth"]) for c in missing]
+        look = tree_table.sparse("indices", "values")
         scored = [
-            _tagged(forest.predict(forest.fit(train, config), test), FOREST, tag, config)
-            for config in configs
+            _tagged(whole.first_trees(n).cut_at(depth).score(test, look), FOREST, tag, config)
+            for config, (n, depth) in zip(missing, parts, strict=True)
         ]
-        return materialise(_union(scored), f"forest_preds_{split}")
+        fits = [(FOREST, c["config_id"], split) for c in missing]
+        store.record(fits, tag, reduce(DataFrame.unionByName, scored), whole, parts, seconds)
 
-    return _union(_each([lambda i=i: run(i) for i in range(n_splits)], concurrent))
+    jobs = []
+    for split in range(n_splits):
+        design = _once(lambda i=split: encoded(fitted, i, bundle, categorical, numeric, f"forest_{i}"))
+        for family in families(configs):
+            if any((FOREST, c["config_id"], split) not in done for c in family):
+                name = f"leaf{family[0]['min_samples_leaf']}-fold{split}"
+                jobs.append((name, lambda i=split, d=design, f=family: grow(i, d, f)))
+    ledger.run(bundle.sparkSession, jobs, concurrent)
+    return store.predictions((FOREST, c["config_id"], i) for c in configs for i in range(n_splits))
 
 
 def boosted_run(
@@ -81,17 +122,26 @@ def boosted_run(
     rounds: int = boosting.ROUNDS,
     rate: float = boosting.RATE,
     patience: int = boosting.PATIENCE,
+    store: Ledger | None = None,
     concurrent: int = CONCURRENT_FITS,
 ) -> DataFrame:
-    """Out-of-fold predictions of the boosted trees, with early stopping on a hold-out."""
+    """Out-of-fold predictions of the boosted trees, with early stopping on a hold-out; as
+    ``forest_grid``, fits that ``store`` holds are not done again."""
+    store = _ledger(bundle, store)
+    done = store.finished()
     config = {"config_id": f"boost_n{rounds}_lr{rate:g}", "n_estimators": rounds,
               "learning_rate": rate}
 
-    def run(split: int) -> DataFrame:
+    def grow(split: int) -> None:
+        began = time.time()
         table = boosting_table(bundle, split)
         booster = boosting.fit(table, rounds, rate, patience)
         test = table.where(F.col("part") == "test")
         scored = _tagged(boosting.predict(booster, test), BOOSTED, tag, config)
-        return materialise(scored, f"boost_preds_{split}")
+        model = booster.table(bundle.sparkSession)
+        store.record([(BOOSTED, config["config_id"], split)], tag, scored, model,
+                     [(model.n_trees, model.depth)], time.time() - began)
 
-    return _union(_each([lambda i=i: run(i) for i in range(n_splits)], concurrent))
+    missing = [i for i in range(n_splits) if (BOOSTED, config["config_id"], i) not in done]
+    ledger.run(bundle.sparkSession, [(f"boost-fold{i}", lambda i=i: grow(i)) for i in missing], concurrent)
+    return store.predictions((BOOSTED, config["config_id"], i) for i in range(n_splits))

@@ -1,19 +1,25 @@
-"""Encoded design tables of one split, from the fitted tables of ``operators.encode``."""
+"""Encoded design tables of one split, from the fitted tables of ``operators.encode``.
+
+An encoded row is sparse: the numbers of its columns and their values, put together by an aggregation
+on the key from one long table of ones and numbers. The vocabulary stays a table: its size is the
+matrix's width, not a list on the driver.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caseflow.operators import encode, folds, sampling
 from caseflow.schema import KEY, NUMERIC, SEED
-from caseflow.session import materialise
+from caseflow.session import materialise, new_path
 
-MOST_LEVELS = 100_000
+SPARSE = 0  # how a stored vector says that it is sparse
 
 
 @dataclass(frozen=True)
@@ -26,85 +32,77 @@ class Fitted:
     scaling: DataFrame
 
 
-@dataclass(frozen=True)
-class Design:
-    """Preprocessing of one split: fill, one-hot, scale.
+def with_vectors(
+    df: DataFrame, size: int | Column, name: str, partition_by: Sequence[str] = (), vector: str = "features"
+) -> DataFrame:
+    """Write ``df``, with ``indices`` and ``values`` as a sparse vector beside them, and read it back.
 
-    Holds one value per column and the train vocabulary; its size is the model's width.
+    A vector is stored as a plain struct; written as one and read as the other, no row goes
+    through Python.
     """
+    width = F.lit(size) if isinstance(size, int) else size
+    stored = F.struct(
+        F.lit(SPARSE).cast("tinyint").alias("type"), width.cast("int").alias("size"),
+        F.col("indices").cast("array<int>").alias("indices"), F.col("values").alias("values"),
+    )
+    made = df.withColumn(vector, F.when(F.lit(True), stored))
+    path = new_path(df.sparkSession, name)
+    made.write.partitionBy(*partition_by).parquet(path)
+    kinds = [T.StructField(f.name, VectorUDT() if f.name == vector else f.dataType) for f in made.schema.fields]
+    return df.sparkSession.read.schema(T.StructType(kinds)).parquet(path)
+
+
+def sparse_rows(entries: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """``(ids..., indices, values)`` from rows ``(ids..., slot, value)``, at most one for each column."""
+    ordered = F.array_sort(F.collect_list(F.struct("slot", "value")))
+    return entries.groupBy(*ids).agg(ordered.alias("e")).select(
+        *ids, F.col("e.slot").alias("indices"), F.col("e.value").alias("values")
+    )
+
 
-    categorical: list[str]
-    numeric: list[str]
-    modes: dict[str, str]
-    medians: dict[str, float]
-    means: dict[str, float]
-    scales: dict[str, float]
-    labels: list[list[str]]
-
-    @property
-    def width(self) -> int:
-        return sum(map(len, self.labels)) + len(self.numeric)
-
-    def _filled(self, df: DataFrame) -> DataFrame:
-        numbers = {
-            c: (F.coalesce(F.col(c).cast("double"), F.lit(self.medians[c])) - self.means[c])
-            / self.scales[c]
-            for c in self.numeric
-        }
-        filled = df.na.fill(self.modes, self.categorical).withColumns(numbers)
-        for c, labels in zip(self.categorical, self.labels, strict=True):
-            filled = StringIndexerModel.from_labels(
-                labels, c, f"{c}_index", handleInvalid="keep"
-            ).transform(filled)
-        return filled
-
-    def vectors(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        """``(keep..., features)`` with a sparse vector: categories, then numbers. The index
-        kept for unseen categories is the one the encoder drops, so they become zeros."""
-        indexed = self._filled(df)
-        indices = [f"{c}_index" for c in self.categorical]
-        hots = [f"{c}_hot" for c in self.categorical]
-        hot = OneHotEncoder(inputCols=indices, outputCols=hots, dropLast=True)
-        encoded = hot.fit(indexed).transform(indexed)
-        assembler = VectorAssembler(inputCols=hots + self.numeric, outputCol="features")
-        return assembler.transform(encoded).select(*keep, "features")
-
-
-def bounded(levels: DataFrame, limit: int = MOST_LEVELS) -> DataFrame:
-    """The levels of one split; they become the model's columns, so too many are an error."""
-    found = levels.count()
-    if found > limit:
-        raise ValueError(f"{found} category levels; at most {limit} can be encoded one by one")
-    return levels
-
-
-def split_design(
-    fitted: Fitted, split: int, categorical: Sequence[str], numeric: Sequence[str]
-) -> Design:
+def encoded(
+    fitted: Fitted,
+    split: int,
+    bundle: DataFrame,
+    categorical: Sequence[str],
+    numeric: Sequence[str],
+    name: str,
+) -> DataFrame:
+    """``(key, fold, y, indices, values, features)`` of all rows, encoded as split ``split`` has it:
+    categories, then numbers. An unseen category has no entry. Written once, partitioned by fold.
+    """
     def of_split(stats: DataFrame) -> DataFrame:
         return stats.where(F.col("split") == split)
 
-    labels: dict[str, list[str]] = {c: [] for c in categorical}
-    vocabulary = bounded(of_split(fitted.levels).select("feature", "level", "slot"))
-    for row in sorted(vocabulary.collect(), key=lambda r: r["slot"]):
-        labels[row["feature"]].append(row["level"])
-    return Design(
-        categorical=list(categorical),
-        numeric=list(numeric),
-        modes=encode.fitted_values(of_split(fitted.modes), "mode"),
-        medians=encode.fitted_values(of_split(fitted.medians), "median"),
-        means=encode.fitted_values(of_split(fitted.scaling), "mean"),
-        scales=encode.fitted_values(of_split(fitted.scaling), "scale"),
-        labels=[labels[c] for c in categorical],
+    modes = encode.fitted_values(of_split(fitted.modes), "mode")
+    medians, means, scales = (
+        encode.fitted_values(of_split(stats), value)
+        for stats, value in ((fitted.medians, "median"), (fitted.scaling, "mean"), (fitted.scaling, "scale"))
     )
+    levels = of_split(fitted.levels)
+    n_levels = levels.count()
+    numbers = {
+        c: (F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) - means[c]) / scales[c] for c in numeric
+    }
+    ids = [KEY, "fold", "y"]
+    filled = bundle.na.fill(modes, list(categorical)).withColumns(numbers)
+    cats = filled.select(F.struct(*ids).alias("row"), F.lit(split).alias("fold"), *categorical)
+    ones = encode.one_hot(cats, levels, categorical, key="row").select("row", "slot", F.lit(1.0).alias("value"))
+    places = F.array(*[
+        F.struct(F.lit(n_levels + i).alias("slot"), F.col(c).cast("double").alias("value"))
+        for i, c in enumerate(numeric)
+    ])
+    rest = filled.select(F.struct(*ids).alias("row"), F.explode(places).alias("e")).select("row", "e.*")
+    rows = sparse_rows(ones.unionByName(rest), ["row"]).select("row.*", "indices", "values")
+    return with_vectors(rows, n_levels + len(numeric), name, ["fold"])
 
 
 def boosting_table(bundle: DataFrame, split: int, holdout: float = 0.2) -> DataFrame:
-    """``(key, fold, y, part, features)`` for the boosted trees, written once.
+    """``(key, fold, y, part, numbers, indices, values, features)`` for the boosted trees, written once.
 
     Part is ``train``, ``validate`` (a hold-out of the train folds) or ``test``. High-count
     categories are target-encoded and the rest become dummies, both fitted on ``train`` only;
-    hour and weekday become cyclic.
+    hour and weekday become cyclic. ``numbers`` are the columns before the dummies.
     """
     marked = sampling.mark_holdout(
         folds.train_rows(bundle, split), holdout, KEY, SEED, "validate"
@@ -116,20 +114,21 @@ def boosting_table(bundle: DataFrame, split: int, holdout: float = 0.2) -> DataF
         encode.fit_target_means(train, encode.TARGET_ENCODED, n_splits=None),
         f"boost_means_{split}",
     )
-    encoded = encode.target_encode(table, means, encode.TARGET_ENCODED, split=0)
-    levels = bounded(encode.fit_levels(train, encode.DUMMIES, n_splits=None)).orderBy("slot").collect()
-    dummies = {
-        f"{r['feature']}_{i}": F.coalesce(
-            (F.col(r["feature"]).cast("string") == r["level"]).cast("double"), F.lit(0.0)
-        )
-        for i, r in enumerate(levels)
-    }
-    numbers = [*NUMERIC, "created_is_weekend"]
-    cyclic = encode.cyclic_encode(encoded.withColumns(dummies)).na.fill(0, numbers)
+    levels = materialise(
+        encode.fit_levels(train, encode.DUMMIES, n_splits=None), f"boost_levels_{split}"
+    )
     inputs = [
-        *encode.TARGET_ENCODED, *numbers, "hour_sin", "hour_cos", "day_sin", "day_cos", *dummies,
+        *encode.TARGET_ENCODED, *NUMERIC, "created_is_weekend", "hour_sin", "hour_cos", "day_sin", "day_cos",
     ]
-    vectors = VectorAssembler(inputCols=inputs, outputCol="features").transform(cyclic)
-    return materialise(
-        vectors.select(KEY, "fold", "y", "part", "features"), f"boost_{split}"
+    coded = encode.cyclic_encode(encode.target_encode(table, means, encode.TARGET_ENCODED, split=0))
+    numbers = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in inputs])
+    ids = F.struct(KEY, "fold", "y", "part", numbers.alias("numbers"))
+    dummies = coded.select(ids.alias("row"), F.lit(0).alias("fold"), *encode.DUMMIES)
+    ones = encode.one_hot(dummies, levels, encode.DUMMIES, key="row").select(
+        "row", (F.col("slot") + len(inputs)).alias("slot"), F.lit(1.0).alias("value")
+    )
+    own = coded.select(ids.alias("row")).select(
+        "row", F.posexplode("row.numbers").alias("slot", "value")
     )
+    rows = sparse_rows(ones.unionByName(own), ["row"]).select("row.*", "indices", "values")
+    return with_vectors(rows, levels.count() + len(inputs), f"boost_{split}")

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from caseflow.models.tree_table import DEEPEST
 from caseflow.schema import SEED
 
-DEEPEST = 30  # the deepest tree the engine grows
 
 
 def fit(encoded_train: DataFrame, config: dict) -> RandomForestRegressionModel:
@@ -25,9 +24,3 @@ def fit(encoded_train: DataFrame, config: dict) -> RandomForestRegressionModel:
         checkpointInterval=10, seed=SEED,
     )
     return forest.fit(encoded_train)
-
-
-def predict(model: RandomForestRegressionModel, encoded: DataFrame) -> DataFrame:
-    return model.transform(encoded).withColumnRenamed("y", "y_true").drop("features").withColumn(
-        "y_pred", F.col("y_pred").cast("double")
-    )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caseflow.functions import text, times
-from caseflow.operators import lookup, quantiles
+from caseflow.operators import lookup, quantiles, sampling
 from caseflow.operators.folds import other_folds
 from caseflow.schema import KEY, N_SPLITS
 
@@ -70,22 +70,22 @@ def fit_modes(df: DataFrame, columns: Sequence[str], n_splits: int | None = N_SP
 
 
 def fit_levels(df: DataFrame, columns: Sequence[str], n_splits: int | None = N_SPLITS) -> DataFrame:
-    """``(split, feature, level, slot)``: train vocabulary in sorted order (numbers by value).
+    """``(split, feature, level, slot, n)``: train vocabulary in sorted order (numbers by value).
 
-    ``slot`` is the 0-based column of the level in the encoded matrix, feature after feature.
-    Missing values are filled with a train value before encoding, so they add no level.
+    ``slot`` is the 0-based column of the level in the encoded matrix, feature after feature;
+    ``n`` is how often the level occurs in train. Missing values are filled with a train value
+    before encoding, so they add no level. Levels are numbered in ranges of the order, so a
+    vocabulary may be of any size.
     """
     numbers = [c for c, kind in df.dtypes if kind != "string"]
     by_value = F.when(F.col("feature").isin(numbers), F.col("value").try_cast("double"))
     counts = value_counts(df, columns, n_splits)
-    sizes = counts.groupBy("split", "feature").agg(F.count(F.lit(1)).alias("_size"))
-    upto = Window.partitionBy("split").orderBy(_position(columns))  # one row per feature
-    offsets = sizes.withColumn("_offset", F.sum("_size").over(upto) - F.col("_size"))
-    order = Window.partitionBy("split", "feature").orderBy(by_value, "value")
-    ranked = counts.withColumn("_place", F.row_number().over(order) - 1)
-    return ranked.join(F.broadcast(offsets), ["split", "feature"]).select(
+    placed = counts.withColumns({"_place": _position(columns), "_value": by_value})
+    ranked = sampling.range_rank(placed, ["split", "_place", "_value", "value"])
+    first = ranked.groupBy("split").agg(F.min("position").alias("_first"))
+    return ranked.join(F.broadcast(first), "split").select(  # one row per split
         "split", "feature", F.col("value").alias("level"),
-        (F.col("_place") + F.col("_offset")).cast("int").alias("slot"),
+        (F.col("position") - F.col("_first")).cast("int").alias("slot"), "n",
     )
 
 
@@ -154,9 +154,9 @@ def fit_target_means(
     n_splits: int | None = N_SPLITS,
     y: str = "y",
 ) -> DataFrame:
-    """``(split, feature, level, encoded)``: train mean of ``y`` per category, drawn towards
-    the train mean by ``smoothing`` pseudo-rows. The row whose level is null holds the train
-    mean itself, which is what unseen categories get.
+    """``(split, feature, level, encoded, n)``: train mean of ``y`` per category, drawn towards
+    the train mean by ``smoothing`` pseudo-rows, and the category's train rows. The row whose
+    level is null holds the train mean itself, which is what unseen categories get.
     """
     cats = df.select("fold", F.col(y).alias("_y"), *[text.text_category(F.col(c)).alias(c)
                                                      for c in columns])
@@ -176,12 +176,13 @@ def fit_target_means(
     encoded = (F.col("total") + F.col("overall") * smoothing) / (F.col("n") + smoothing)
     return (
         train.join(F.broadcast(overall), ["split", "feature"])  # one row per split and column
-        .select("split", "feature", "level", encoded.alias("encoded"))
+        .select("split", "feature", "level", encoded.alias("encoded"), "n")
         .unionByName(
             overall.select(
                 "split", "feature",
                 F.lit(None).cast("string").alias("level"),
                 F.col("overall").alias("encoded"),
+                F.lit(0).cast("long").alias("n"),
             )
         )
     )
@@ -239,12 +240,15 @@ def one_hot(
     A missing or unseen category has no row. Pass ``levels`` as a written table.
     """
     known = levels.select(F.col("split").alias("fold"), "feature",
-                          F.col("level").alias("value"), "slot")
+                          F.col("level").alias("value"), "slot", "n")
     long = melt(df, [key, "fold"], columns, "string").where(F.col("value").isNotNull())
     on = ["fold", "feature", "value"]
+    if lookup.fits_broadcast(known):
+        met = long.join(F.broadcast(known), on)
+    else:
+        met = lookup.attach_counted(long, known, on, "n")
     return (
-        lookup.attach(long, known, on, key, lookup.fits_broadcast(known))
-        .where(F.col("slot").isNotNull())
+        met.where(F.col("slot").isNotNull())
         .select(key, "fold", "feature", F.col("value").alias("level"), "slot")
     )
 
@@ -261,7 +265,6 @@ def target_encode(
     Every row uses the split that leaves its fold out, or the one given. Pass ``means`` as a
     written table.
     """
-    small = lookup.fits_broadcast(means)
     if split is None:
         means = means.withColumnRenamed("split", "fold")
         on = ["fold", "_level"]
@@ -275,18 +278,35 @@ def target_encode(
         on = ["_level"]
         fallback = fitted_values(means.where(F.col("level").isNull()), "encoded")
         out = df.withColumns({f"{c}_overall": F.lit(fallback[c]) for c in columns})
-    for c in columns:
-        known = means.where((F.col("feature") == c) & F.col("level").isNotNull()).select(
-            *on[:-1], F.col("level").alias("_level"), F.col("encoded").alias(f"{c}_encoded")
-        )
-        out = out.withColumn("_level", text.text_category(F.col(c)))
-        out = lookup.attach(out, known, on, key, small).drop("_level")
+    known = means.where(F.col("level").isNotNull()).withColumnRenamed("level", "_level")
+    if lookup.fits_broadcast(known):
+        for c in columns:
+            one = known.where(F.col("feature") == c).select(
+                *on, F.col("encoded").alias(f"{c}_encoded")
+            )
+            out = out.withColumn("_level", text.text_category(F.col(c)))
+            out = out.join(F.broadcast(one), on, "left").drop("_level")
+    else:
+        out = out.join(_encoded_by_key(df, known, columns, key, on), key, "left")
     encoded = {c: F.coalesce(F.col(f"{c}_encoded"), F.col(f"{c}_overall")) for c in columns}
     return out.withColumns(encoded).drop(
         *[f"{c}{s}" for c in columns for s in ("_encoded", "_overall")]
     )
 
 
+def _encoded_by_key(
+    df: DataFrame, known: DataFrame, columns: Sequence[str], key: str, on: Sequence[str]
+) -> DataFrame:
+    """``(key, column_encoded...)``: all columns in long form, so that one join serves them all."""
+    ids = [key, "fold"] if "fold" in on else [key]
+    cats = df.select(*ids, *[text.text_category(F.col(c)).alias(c) for c in columns])
+    long = cats.unpivot(ids, list(columns), "feature", "_level")
+    met = lookup.attach_counted(long, known, [*on, "feature"], "n")
+    return met.groupBy(key).agg(
+        *[F.max(F.when(F.col("feature") == c, F.col("encoded"))).alias(f"{c}_encoded") for c in columns]
+    )
+
+
 def fitted_values(stats: DataFrame, value: str) -> dict:
     """Fitted values of one split by feature: one number or text per column."""
     return {r["feature"]: r[value] for r in stats.select("feature", value).collect()}

@@ -192,18 +192,36 @@ def compare_models(summary: DataFrame) -> DataFrame:
     return best_config(summary).withColumn("place", F.row_number().over(order))
 
 
+def mean_baseline(df: DataFrame) -> DataFrame:
+    """``(fold, low, high, mean)`` of the train rows of each fold: the range of ``y``, and the mean
+    that a model must beat."""
+    sums = df.groupBy("fold").agg(
+        F.count("y").alias("n"), F.sum("y").alias("total"), F.min("y").alias("low"), F.max("y").alias("high")
+    )
+    train = other_folds(sums, N_SPLITS).groupBy(F.col("split").alias("fold"))
+    return train.agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), (F.sum("total") / F.sum("n")).alias("mean")
+    )
+
+
 def run_facts(preds: DataFrame, df: DataFrame) -> DataFrame:
-    """``(model, config_id, fold, n, n_keys, n_missing, beats_mean)`` of a prediction table.
+    """``(model, fold, n, n_keys, n_missing, n_within, base_mae, base_rmse)`` of a prediction table.
 
-    ``beats_mean``: the RMSE over the fold is below that of always predicting the train mean.
+    ``n_within`` predictions lie in the range of the train rows; the base errors are those of always
+    predicting the train mean, over the same rows.
     """
-    sums = df.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("total"))
-    everyone = Window.partitionBy(F.lit(0))  # one row per fold
-    mean = (F.sum("total").over(everyone) - F.col("total")) / (F.sum("n").over(everyone) - F.col("n"))
-    means = sums.select("fold", mean.alias("_mean"))
-    joined = preds.join(F.broadcast(means), "fold").withColumn("_base", F.col("_mean"))
-    return joined.groupBy("model", "config_id", "fold").agg(
+    joined = preds.join(F.broadcast(mean_baseline(df)), "fold")  # one row per fold
+    return joined.groupBy("model", "fold").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct(KEY).alias("n_keys"),
         F.count_if(F.col("y_pred").isNull()).alias("n_missing"),
-        (rmse() < rmse("y_true", "_base")).alias("beats_mean"),
+        F.count_if(F.col("y_pred").between(F.col("low"), F.col("high"))).alias("n_within"),
+        mae("y_true", "mean").alias("base_mae"), rmse("y_true", "mean").alias("base_rmse"),
+    )
+
+
+def with_baseline(ranked: DataFrame, preds: DataFrame, df: DataFrame) -> DataFrame:
+    """Ranked models beside the train mean's RMSE on the same rows, and whether they beat it."""
+    base = run_facts(preds, df).groupBy("model").agg(F.avg("base_rmse").alias("base_rmse"))
+    return ranked.join(F.broadcast(base), "model").withColumn(  # one row per model
+        "beats_mean", F.col("rmse_mean") < F.col("base_rmse")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
+HOT_KEYS = 10_000  # a key with at least one in so many rows is hot: there are no more of them
 
 
 def _size_in_bytes(small: DataFrame) -> int:
@@ -44,3 +45,19 @@ def attach(
     salted = small.withColumn("_salt", F.explode(salts))
     spread_out = big.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
     return spread_out.join(salted.hint("merge"), [*on, "_salt"], "left").drop("_salt")
+
+
+def attach_counted(big: DataFrame, small: DataFrame, on: Sequence[str], count: str) -> DataFrame:
+    """Left join of ``big`` to ``small``, which has one row per ``on`` and tells how often it occurs.
+
+    The few frequent keys (at most ``HOT_KEYS``) are broadcast; only rows with other keys are
+    shuffled, so no task gets the rows of a frequent key and nothing is repeated. ``big`` is
+    read twice: pass a written table.
+    """
+    on = list(on)
+    least = (small.agg(F.sum(count)).first()[0] or 0) / HOT_KEYS
+    hot = small.where(F.col(count) >= least).drop(count)
+    rest = small.where(F.col(count) < least).drop(count)
+    met = big.join(F.broadcast(hot), on)
+    left = big.join(F.broadcast(hot.select(*on)), on, "left_anti")
+    return met.unionByName(left.join(rest.hint("merge"), on, "left"))

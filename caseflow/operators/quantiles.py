@@ -2,24 +2,19 @@
 
 The built-in ``percentile`` merges a map of every distinct value into one task per group.
 Here equal values are counted first (map-side combine, then a shuffle by value, so a hot
-value costs nothing), the counts are summed over narrow logarithmic cells, and only the few
-cells that contain a wanted rank are ordered value by value.
+value costs nothing), the distinct values are dealt into ranges that hold about as many of them
+each, however closely they lie, the counts are summed by range, and only the few ranges that
+contain a wanted rank are ordered value by value.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Cells per doubling of 1 + |value|: hours up to a year fall in 4096 * 14 cells.
-CELLS_PER_DOUBLING = 4096
-
-
-def _cell(value: Column) -> Column:
-    magnitude = F.floor(F.log2(1 + F.abs(value)) * CELLS_PER_DOUBLING)
-    return F.coalesce((F.signum(value) * magnitude).cast("long"), F.lit(0).cast("long"))
+from caseflow.operators import sampling
 
 
 def exact_quantiles(
@@ -37,18 +32,18 @@ def exact_quantiles(
     """
     by = list(by)
     amount = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    counts = (
+    counts = sampling.ranged(
         df.where(F.col(value).isNotNull())
         .groupBy(*by, F.col(value).alias("_v"))
-        .agg(amount.alias("_n"))
-        .withColumn("_cell", _cell(F.col("_v")))
+        .agg(amount.alias("_n")),
+        [*by, "_v"],
     )
 
     everything = Window.partitionBy(*by)
-    cells = (
-        counts.groupBy(*by, "_cell")
+    ranges = (
+        counts.groupBy(*by, "_part")
         .agg(F.sum("_n").alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(everything.orderBy("_cell")))
+        .withColumn("_upto", F.sum("_n").over(everything.orderBy("_part")))
         .withColumn("_total", F.sum("_n").over(everything))
     )
     before = F.col("_upto") - F.col("_n")
@@ -66,7 +61,7 @@ def exact_quantiles(
                 )
             )
     targets = (
-        cells.where(inside)
+        ranges.where(inside)
         .withColumn(
             "_targets",
             F.filter(
@@ -74,12 +69,12 @@ def exact_quantiles(
                 lambda t: (t["rank"] >= before) & (t["rank"] < F.col("_upto")),
             ),
         )
-        .select(*by, "_cell", before.alias("_before"), "_targets")
+        .select(*by, "_part", before.alias("_before"), "_targets")
     )
 
-    within = Window.partitionBy(*by, "_cell").orderBy("_v")
+    within = Window.partitionBy(*by, "_part").orderBy("_v")
     hits = (
-        counts.join(F.broadcast(targets), [*by, "_cell"])
+        counts.join(F.broadcast(targets), [*by, "_part"])
         .withColumn("_last", F.col("_before") + F.sum("_n").over(within))
         .select(*by, "_v", "_n", "_last", F.explode("_targets").alias("_t"))
         .where(

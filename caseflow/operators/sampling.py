@@ -1,8 +1,8 @@
 """Seeded order, samples and hold-outs by the md5 of the key.
 
-The order is the same on every run and every cluster size. Ranks are two-level: counts per
-hash prefix give each prefix its offset, and only rows of one prefix are ordered against each
-other, so no task ever sorts a whole group. The number of prefixes follows the row count.
+The order is the same on every run and every cluster size. Ranks are two-level: rows are dealt
+into ranges of the order, counts per range give each its offset, and only rows of one range are
+ordered against each other, so no task ever sorts a whole group.
 """
 
 from __future__ import annotations
@@ -12,9 +12,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caseflow.session import materialise
+
 PREFIX_DIGITS = 4  # hexadecimal digits: 65,536 prefixes
-ROWS_PER_PREFIX = 100_000
-MOST_DIGITS = 5
 
 
 def key_hash(key: str, label: str) -> Column:
@@ -25,36 +25,44 @@ def _prefix(digits: int = PREFIX_DIGITS) -> Column:
     return F.substring("_hash", 1, digits)
 
 
-def prefix_digits(rows: int) -> int:
-    """Digits that leave about ``ROWS_PER_PREFIX`` rows to order within one prefix."""
-    digits = 1
-    while digits < MOST_DIGITS and rows > ROWS_PER_PREFIX * 16**digits:
-        digits += 1
-    return digits
+def ranged(df: DataFrame, order: Sequence[str], parts: int | None = None) -> DataFrame:
+    """``df``, written in ranges of the order, with ``_part``: the number of a row's range.
 
+    The ranges follow the rows (a sample of them tells the bounds), so each holds about as many
+    as the others; the order must tell all rows apart.
+    """
+    spark = df.sparkSession
+    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return materialise(
+        df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), "ranged"
+    )
 
-def hash_rank(
-    df: DataFrame, key: str, label: str, after: Sequence[str] = (), name: str = "position"
+
+def range_rank(
+    df: DataFrame, order: Sequence[str], name: str = "position", parts: int | None = None
 ) -> DataFrame:
-    """Add the 0-based position of each row in the order (``after``..., hash).
+    """Add the 0-based position of each row in the order, which must tell all rows apart.
 
-    ``after`` must be a bounded grouping. Rows are shuffled once, by (group, prefix); the
-    offsets are running sums over the counts per (group, prefix) and join on the same keys.
-    ``df`` is counted and read twice: pass a written stage table.
+    Ranges of the order are counted; the counts (one number for each range) give each its offset,
+    and rows are only ordered against those of their own range.
     """
-    cell = [*after, "_prefix"]
-    digits = prefix_digits(df.count())
-    hashed = df.withColumn("_hash", key_hash(key, label)).withColumn("_prefix", _prefix(digits))
-    sizes = hashed.groupBy(*cell).agg(F.count(F.lit(1)).alias("_size"))
-    upto = F.sum("_size").over(Window.orderBy(*cell))  # counts only, not rows
-    offsets = sizes.select(*cell, (upto - F.col("_size")).alias("_offset"))
-    local = Window.partitionBy(*cell).orderBy("_hash", key)
-    return (
-        hashed.withColumn("_local", F.row_number().over(local))
-        .join(offsets, cell)
-        .withColumn(name, F.col("_local") + F.col("_offset") - 1)
-        .drop("_hash", "_prefix", "_local", "_offset")
-    )
+    written = ranged(df, order, parts)
+    sizes = {r["_part"]: r["count"] for r in written.groupBy("_part").count().collect()}
+    offsets, upto = [], 0
+    for part in range(max(sizes, default=-1) + 1):
+        offsets.append(upto)
+        upto += sizes.get(part, 0)
+    start = F.get(F.lit(offsets).cast("array<bigint>"), F.col("_part")) if offsets else F.lit(0)
+    local = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return written.withColumn(name, (local + start - 1).cast("long")).drop("_part")
+
+
+def hash_rank(
+    df: DataFrame, key: str, label: str, after: Sequence[str] = (), name: str = "position"
+) -> DataFrame:
+    """Add the 0-based position of each row in the order (``after``..., hash)."""
+    hashed = df.withColumn("_hash", key_hash(key, label))
+    return range_rank(hashed, [*after, "_hash", key], name).drop("_hash")
 
 
 def hash_cutoff(

@@ -222,11 +222,13 @@ def _grid_rows() -> str:
     return ", ".join(f"('{model}', '{config}')" for model, config in CONFIGS)
 
 
-def _facts(model: str, config: str) -> str:
+def _facts(models: list[str], within: str = "") -> str:
+    """What a prediction table must hold by fold, and the errors of the train mean over its rows."""
     return f"""
-SELECT '{model}' AS model, '{config}' AS config_id, fold, count(*) AS n,
-  count(DISTINCT unique_key) AS n_keys, 0::BIGINT AS n_missing, true AS beats_mean
-FROM bundle GROUP BY fold"""
+SELECT m AS model, fold, count(*) AS n, count(DISTINCT unique_key) AS n_keys,
+  count(*) - count(y) AS n_missing, {within}
+  round(avg(abs(y - overall)), 6) AS base_mae, round(sqrt(avg((y - overall) * (y - overall))), 6) AS base_rmse
+FROM bundle JOIN overall o ON o.split = fold CROSS JOIN (SELECT unnest({models}) AS m) GROUP BY ALL"""
 
 
 def _na(c: str) -> str:
@@ -434,8 +436,8 @@ SELECT unique_key, round(sin(2 * pi() * created_hour / 24.0), 6) AS hour_sin,
   round(sin(2 * pi() * created_dayofweek / 7.0), 6) AS day_sin,
   round(cos(2 * pi() * created_dayofweek / 7.0), 6) AS day_cos FROM bundle"""),
     "dummies_long": _with_more("bundle", f"""
-, long AS ({_dummy_stack()}),
-known AS (SELECT split, feature, value,
+, long AS MATERIALIZED ({_dummy_stack()}),
+known AS MATERIALIZED (SELECT split, feature, value,
   (row_number() OVER (PARTITION BY split ORDER BY pos, num, value) - 1)::INT AS slot
   FROM (SELECT DISTINCT split, feature, pos, value, num FROM long JOIN {SPLITS}
         ON fold <> split WHERE value IS NOT NULL))
@@ -519,19 +521,19 @@ SELECT coalesce(borough, 'nan') AS value, count(*) AS n FROM bundle GROUP BY ALL
 SELECT coalesce(borough, 'nan') AS value, count(*) AS n, round(avg(y), 6) AS mean_y
 FROM bundle GROUP BY ALL"""),
     # models: what every run must hold
-    "rf_oof": _with("bundle", _facts("random_forest_regressor", "rf_n200_d20_leaf10")),
-    "boost_oof": _with("bundle", _facts("boosted_trees_regressor", "boost_n100_lr0.5")),
-    "boost_results": _with("bundle", f"""
-SELECT 'boosted_trees_regressor' AS model, 'boost_n100_lr0.5' AS config_id, 'fold' AS row_type,
-  100::INT AS n_estimators, 0.5::DOUBLE AS learning_rate, {N_SPLITS}::BIGINT AS n,
-  count(*) AS n_test, {N_SPLITS}::BIGINT AS n_errors FROM bundle
-UNION ALL SELECT 'boosted_trees_regressor', 'boost_n100_lr0.5', 'summary', 100, 0.5, 1, NULL, 0"""),
+    "rf_oof": _with("overall", _facts(["random_forest_regressor"], "count(y) AS n_within,")),
+    "boost_oof": _with("overall", _facts(["boosted_trees_regressor"])),
     "cv_grid": _with("bundle", f"""
-SELECT 'random_forest_regressor' AS model, 'rf_n200_d20_leaf10' AS config_id, 'fold' AS row_type,
-  {N_SPLITS}::BIGINT AS n, {N_SPLITS}::BIGINT AS n_best, count(*) AS n_test,
-  {N_SPLITS}::BIGINT AS n_rmse FROM bundle
-UNION ALL SELECT 'random_forest_regressor', 'rf_n200_d20_leaf10', 'summary', 1, 1, NULL, 0"""),
-    "model_compare": _with("bundle", f"""
-SELECT m AS model, '{TAG}' AS tag, (SELECT count(*) FROM bundle) > 0 AS scored
-FROM (SELECT unnest(['category_mean', 'random_forest_regressor', 'boosted_trees_regressor']) AS m)"""),
+SELECT 'random_forest_regressor' AS model, '{TAG}' AS tag,
+  format('rf_n{{}}_d{{}}_leaf{{}}', n_estimators, max_depth, min_samples_leaf) AS config_id,
+  n_estimators::INT AS n_estimators, max_depth::INT AS max_depth, min_samples_leaf::INT AS min_samples_leaf,
+  count(*) AS n_folds, sum(n_train)::BIGINT AS n_train, sum(n_test)::BIGINT AS n_test, count(n_test) AS n_sound
+FROM (SELECT unnest([4, 6]) AS n_estimators), (SELECT unnest([20, 30]) AS max_depth),
+  (SELECT unnest([1, 5, 10]) AS min_samples_leaf), (
+  SELECT fold, sum(count(*)) OVER () - count(*) AS n_train, count(*) AS n_test FROM bundle GROUP BY fold)
+GROUP BY ALL"""),
+    "model_compare": _with_more("overall", f"""
+, facts AS ({_facts(['category_mean', 'random_forest_regressor', 'boosted_trees_regressor']).replace("round(", "(").replace(", 6)", ")")})
+SELECT model, count(*) AS n_folds, sum(n_keys)::BIGINT AS n_keys, sum(n_missing)::BIGINT AS n_missing,
+  round(avg(base_mae), 6) AS base_mae, round(avg(base_rmse), 6) AS base_rmse FROM facts GROUP BY ALL"""),
 }

@@ -182,16 +182,6 @@ def cleaning_report(s: Stages) -> DataFrame:
     return clean.cleaning_report(counts, s.interim().columns, "percentile", source="raw", target="interim")
 
 
-@query
-def boost_results(s: Stages) -> DataFrame:
-    """Fold and summary rows of boosting in the stored form: counts and the presence of errors."""
-    results = profile.results_from(s.boosted_predictions(), ["n_estimators", "learning_rate"])
-    return results.groupBy("model", "config_id", "row_type", "n_estimators", "learning_rate").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("n_test").alias("n_test"),
-        F.count_if((F.col("mae") > 0) & (F.col("mae") <= F.col("rmse"))).alias("n_errors"),
-    )
-
-
 @query
 def clean_tickets(s: Stages) -> DataFrame:
     return clean.cut_outliers(s.unique())
@@ -451,41 +441,59 @@ def borough_mean_target(s: Stages) -> DataFrame:
 
 # ---- models -------------------------------------------------------------------------------
 
-def _facts(preds: DataFrame, bundle: DataFrame) -> DataFrame:
-    """What every run must hold, by configuration and fold: rows, keys, missing predictions, and
-    whether its error is below that of the train mean."""
-    return evaluate.run_facts(preds, bundle)
-
-
 @query
 def rf_oof(s: Stages) -> DataFrame:
+    """Out-of-fold predictions of the best forest: rows, keys, range, and what the train mean errs by."""
     preds = s.forest_predictions()
     params = list(evaluate.FOREST_GRID)
     summary = evaluate.summarise(evaluate.fold_results(preds, params), params)
-    return _facts(evaluate.best_predictions(preds, evaluate.best_config(summary)), s.bundle())
+    return evaluate.run_facts(evaluate.best_predictions(preds, evaluate.best_config(summary)), s.bundle())
 
 
 @query
 def boost_oof(s: Stages) -> DataFrame:
-    return _facts(s.boosted_predictions(), s.bundle())
+    """The same of the boosted trees, whose sums may leave the range of the train rows."""
+    return evaluate.run_facts(s.boosted_predictions(), s.bundle()).drop("n_within")
+
+
+@query
+def boost_results(s: Stages) -> DataFrame:
+    """Fold and summary rows of boosting with their errors, in the stored form."""
+    return profile.results_from(s.boosted_predictions(), ["n_estimators", "learning_rate"])
+
+
+@query
+def forest_results(s: Stages) -> DataFrame:
+    """Fold and summary rows of the forest grid with their errors, in the stored form."""
+    return profile.results_from(s.forest_predictions(), list(evaluate.FOREST_GRID))
 
 
 @query
 def cv_grid(s: Stages) -> DataFrame:
-    """Shape of the forest's stored result table: rows of each kind, folds, flagged rows."""
+    """Shape of the forest grid's stored results: every configuration's folds, rows and sound errors."""
     results = profile.results_from(s.forest_predictions(), list(evaluate.FOREST_GRID))
-    return results.groupBy("model", "config_id", "row_type").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("is_best").alias("n_best"),
-        F.sum("n_test").alias("n_test"), F.count_if(F.col("rmse") > 0).alias("n_rmse"),
+    sound = (F.col("mae") > 0) & (F.col("mae") <= F.col("rmse"))
+    return results.where("row_type = 'fold'").groupBy("model", "tag", "config_id", *evaluate.FOREST_GRID).agg(
+        F.count(F.lit(1)).alias("n_folds"), F.sum("n_train").alias("n_train"), F.sum("n_test").alias("n_test"),
+        F.count_if(sound).alias("n_sound"),
     )
 
 
 @query
 def model_compare(s: Stages) -> DataFrame:
-    """Which models were compared on the same folds, and that the trees beat the train mean."""
-    columns = [*evaluate.RUN, KEY, "fold", "y_true", "y_pred"]
-    preds = s.predictions().select(*columns)
-    for other in (s.forest_predictions(), s.boosted_predictions()):
-        preds = preds.unionByName(other.select(*columns))
+    """The models compared, on which common rows, and the train mean's errors there."""
+    preds = s.all_predictions()
+    best = evaluate.best_config(evaluate.summarise(evaluate.fold_results(preds)))
+    facts = evaluate.run_facts(evaluate.best_predictions(preds, best), s.bundle())
+    return facts.groupBy("model").agg(
+        F.count(F.lit(1)).alias("n_folds"), F.sum("n_keys").alias("n_keys"), F.sum("n_missing").alias("n_missing"),
+        F.avg("base_mae").alias("base_mae"), F.avg("base_rmse").alias("base_rmse"),
+    )
+
+
+@query
+def model_ranking(s: Stages) -> DataFrame:
+    """The best configuration of every model, ranked by its errors, and whether it beats the train mean."""
+    preds = s.all_predictions()
     ranked = evaluate.compare_models(evaluate.summarise(evaluate.fold_results(preds)))
-    return ranked.select("model", "tag", (F.col("rmse_mean") > 0).alias("scored"))
+    return evaluate.with_baseline(ranked, evaluate.best_predictions(preds, ranked), s.bundle())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,18 +11,20 @@ from pyspark.sql import functions as F
 from caseflow import fixtures
 from caseflow.models import crossval
 from caseflow.models.design import Fitted
+from caseflow.models.ledger import Ledger
 from caseflow.operators import clean, encode, evaluate, features, folds
 from caseflow.plans import pipeline
-from caseflow.schema import N_SPLITS, RAW_COLUMNS
-from caseflow.session import materialise, new_path, use_utc
+from caseflow.schema import KEY, N_SPLITS, RAW_COLUMNS
+from caseflow.session import materialise, new_path, run_folder, use_utc
 from caseflow.sources import snapshots
 
 SMOOTHINGS = [1, 5, 15, 50, 150, 500]
 TAG = "processed_cv5"
 BASELINE_COLUMN = "complaint_type"
 FIRST_DELIVERY = "1900-12-31"
-# One configuration of the forest grid, with its real number of trees.
-FOREST_RUN = {"n_estimators": [200], "max_depth": [20], "min_samples_leaf": [10]}
+# The registered queries run all depths and leaf sizes of the grid with a fiftieth of its trees; the
+# grid itself, evaluate.FOREST_GRID, is the same call.
+FOREST_RUN = evaluate.FOREST_GRID | {"n_estimators": [4, 6]}
 
 
 class Stages:
@@ -158,21 +161,38 @@ class Stages:
     def fitted(self) -> Fitted:
         return Fitted(self.modes(), self.levels(), self.medians(), self.scaling())
 
+    def runs(self) -> Ledger:
+        """The stored fits over this bundle: queries of one application fit a model once."""
+        def find() -> Ledger:
+            bundle = self.bundle()
+            row = F.xxhash64(*sorted(bundle.columns))
+            seen = bundle.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(row).alias("digest")).first()
+            return Ledger(self.spark, f"{run_folder(self.spark)}/runs-{seen['n']}-{seen['digest']}")
+
+        return self._once("runs", find)
+
     def forest_predictions(self) -> DataFrame:
-        """One configuration of the forest over all folds; the full grid is a call of the library."""
+        """The forest grid over all folds."""
         configs = evaluate.grid_configs(crossval.FOREST, FOREST_RUN)
         return self._once(
             "forest_predictions",
             lambda: crossval.forest_grid(
-                self.bundle(), self.fitted(), *self.columns(), configs, TAG, N_SPLITS
+                self.bundle(), self.fitted(), *self.columns(), configs, TAG, N_SPLITS, self.runs()
             ),
         )
 
     def boosted_predictions(self) -> DataFrame:
         """Boosted trees with their real number of rounds and early stopping."""
         return self._once(
-            "boosted_predictions", lambda: crossval.boosted_run(self.bundle(), TAG, N_SPLITS)
+            "boosted_predictions",
+            lambda: crossval.boosted_run(self.bundle(), TAG, N_SPLITS, store=self.runs()),
         )
 
+    def all_predictions(self) -> DataFrame:
+        """The baseline, the forests and the boosted trees in one long table."""
+        columns = [*evaluate.RUN, KEY, "fold", "y_true", "y_pred"]
+        tables = (self.predictions(), self.forest_predictions(), self.boosted_predictions())
+        return reduce(DataFrame.unionByName, [t.select(*columns) for t in tables])
+
 
 RAW_WITH_ARRIVAL = [*RAW_COLUMNS, "arrival"]

@@ -47,6 +47,12 @@ def clear(spark: SparkSession | None = None) -> None:
     _folders.clear()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whatever store the path names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; never reused, so no run overwrites another."""
     return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -4,7 +4,7 @@ import hashlib
 from datetime import datetime
 
 import pytest
-from caseflow.models import boosting, design, forest
+from caseflow.models import boosting, forest
 from caseflow.models.training import EarlyStop
 from caseflow.operators import clean, encode, evaluate, features, folds, lookup, profile, quantiles, sampling
 from caseflow.plans import pipeline
@@ -75,8 +75,6 @@ def test_fitted_values(spark):
     assert rows(encode.fit_modes(df, ["c"], n_splits=None), "mode") == [("a",)]
     levels = encode.fit_levels(df.withColumn("n", F.col("fold")), ["c", "n"], n_splits=None)
     assert rows(levels, "feature", "level", "slot") == [("c", "a", 0), ("c", "b", 1), ("n", "0", 2), ("n", "1", 3)]
-    with pytest.raises(ValueError, match="at most 3"):
-        design.bounded(levels, 3)
 
 
 def test_folds_are_balanced(spark):
@@ -100,12 +98,14 @@ def test_holdout_shares(spark):
         assert sum(flags) == n and None not in flags
 
 
-def test_rank_is_the_same_for_any_number_of_prefixes(spark, monkeypatch):
+def test_rank_is_the_same_for_any_number_of_ranges(spark):
     df = spark.range(300).select(F.col("id").cast("string").alias("k"))
     want = {str(i): n for n, i in enumerate(sorted(range(300), key=lambda i: hashlib.md5(f"s:{i}".encode()).hexdigest()))}
-    for size in (100_000, 3):
-        monkeypatch.setattr(sampling, "ROWS_PER_PREFIX", size)
-        assert {r.k: r.position for r in sampling.hash_rank(df, "k", "s").collect()} == want
+    assert {r.k: r.position for r in sampling.hash_rank(df, "k", "s").collect()} == want
+    hashed = df.withColumn("_hash", sampling.key_hash("k", "s"))
+    for parts in (1, 3, 50):
+        assert {r.k: r.position for r in sampling.range_rank(hashed, ["_hash"], parts=parts).collect()} == want
+    assert sampling.range_rank(hashed.where("false"), ["_hash"]).count() == 0
 
 
 def test_both_ways_to_attach_give_the_same(spark):
