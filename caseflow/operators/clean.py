@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -195,6 +195,43 @@ def funnel(
     return long(before, first).unionByName(long(after, {s: s for s in FUNNEL_STAGES[5:]}))
 
 
+class LiveFunnel:
+    """The funnel's counts, filled while the cleaned rows are written: no row is read a second time.
+
+    The metrics run inside the writing jobs. A stage that the engine runs again after losing an
+    executor may count its rows twice; ``funnel`` counts from the tables.
+    """
+
+    def __init__(self) -> None:
+        self._raw, self._unique, self._kept = Observation(), Observation(), Observation()
+
+    def unique(self, raw: DataFrame, formats: Sequence[str] = ()) -> DataFrame:
+        """As ``last_ordered``; to be written once."""
+        seen = parsed(raw, formats).observe(
+            self._raw,
+            F.count(F.lit(1)).alias("raw"),
+            F.count_if(has_both_dates()).alias("required_dates"),
+            F.count_if(has_both_dates() & in_order()).alias("time_sanity"),
+        )
+        last = seen.transform(keep_dated).transform(keep_ordered).transform(keep_last)
+        return with_hours(last).observe(
+            self._unique,
+            F.count(F.lit(1)).alias("dedup_unique_key"),
+            F.count_if(valid_hours()).alias("target_compute"),
+        )
+
+    def kept(self, df: DataFrame) -> DataFrame:
+        """The rows that are left; to be written once."""
+        return df.observe(self._kept, F.count(F.lit(1)).alias("outlier_filter"))
+
+    def counts(self, spark: SparkSession) -> DataFrame:
+        """``(step, stage, n_rows)`` once both tables are written; waits for them."""
+        seen = self._raw.get | self._unique.get | self._kept.get
+        seen |= {s: seen["raw"] for s in FUNNEL_STAGES[1:3]}
+        rows = [(i, s, seen[s]) for i, s in enumerate(FUNNEL_STAGES)]
+        return spark.createDataFrame(rows, "step int, stage string, n_rows long")
+
+
 def cleaning_report(
     counts: DataFrame,
     columns: Sequence[str],

@@ -537,3 +537,11 @@ GROUP BY ALL"""),
 SELECT model, count(*) AS n_folds, sum(n_keys)::BIGINT AS n_keys, sum(n_missing)::BIGINT AS n_missing,
   round(avg(base_mae), 6) AS base_mae, round(avg(base_rmse), 6) AS base_rmse FROM facts GROUP BY ALL"""),
 }
+
+# The same results by another mechanism.
+ORACLE["live_funnel"] = ORACLE["clean_funnel"]
+ORACLE["align_bucketed"] = ORACLE["align_semi"]
+ORACLE["predictions_bucketed"] = _with("best_preds", """
+SELECT borough, count(*) AS n, round(avg(abs(y_true - y_pred)), 6) AS mae,
+  round(sqrt(avg((y_true - y_pred) * (y_true - y_pred))), 6) AS rmse
+FROM best_preds JOIN bundle USING (unique_key) GROUP BY ALL""")

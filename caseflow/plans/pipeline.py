@@ -31,6 +31,19 @@ def build_interim(
     return interim, clean.funnel(raw, unique, outlier_mode, outlier_value, formats)
 
 
+def build_interim_live(
+    raw: DataFrame, outlier_mode: str = "percentile", outlier_value: float | None = None,
+    formats: Sequence[str] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """As ``build_interim``, with a funnel that is counted while the two tables are written."""
+    spark = use_utc(raw.sparkSession)
+    live = clean.LiveFunnel()
+    unique = materialise(live.unique(raw, formats), "unique")
+    cut = clean.cut_outliers(clean.keep_valid_target(unique), outlier_mode, outlier_value)
+    interim = materialise(live.kept(cut), "interim")
+    return interim, live.counts(spark)
+
+
 def with_features_and_target(
     interim: DataFrame, transform: str = "log1p", max_rows: int = 0, seed: int = SEED
 ) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseflow.operators import clean, encode, evaluate, features, folds, profile, sampling
+from caseflow.plans import pipeline
 from caseflow.plans.pipeline import show_times, with_features_and_target
 from caseflow.plans.stages import RAW_WITH_ARRIVAL, TAG, Stages
 from caseflow.schema import (
@@ -176,6 +177,12 @@ def clean_funnel(s: Stages) -> DataFrame:
     return clean.funnel(s.raw(), s.unique())
 
 
+@query
+def live_funnel(s: Stages) -> DataFrame:
+    """The funnel, counted while the cleaned tables are written."""
+    return pipeline.build_interim_live(s.raw())[1]
+
+
 @query
 def cleaning_report(s: Stages) -> DataFrame:
     counts = clean.funnel(s.raw(), s.unique())
@@ -215,6 +222,24 @@ def align_semi(s: Stages) -> DataFrame:
     return features.align_to_target(s.unique(), located).select(KEY, "borough", "latitude")
 
 
+@query
+def align_bucketed(s: Stages) -> DataFrame:
+    """The same rows from two tables bucketed by key, which are not shuffled to be aligned."""
+    located = features.with_target(s.unique(), "none", target="latitude").select(KEY, "y")
+    sides = [tables.write_bucketed(t, name) for t, name in ((s.unique(), "rows"), (located, "targets"))]
+    return features.align_to_target(*sides).select(KEY, "borough", "latitude")
+
+
+@query
+def predictions_bucketed(s: Stages) -> DataFrame:
+    """Stored predictions beside the category they are for, both bucketed by key."""
+    preds = s.best_predictions().select(KEY, "fold", "y_true", "y_pred")
+    rows = s.bundle().select(KEY, "borough")
+    sides = [tables.write_bucketed(t, name) for t, name in ((preds, "preds"), (rows, "rows"))]
+    joined = sides[0].join(sides[1], KEY)
+    return joined.groupBy("borough").agg(F.count(F.lit(1)).alias("n"), evaluate.mae().alias("mae"), evaluate.rmse().alias("rmse"))
+
+
 @query
 def numeric_coerce(s: Stages) -> DataFrame:
     return features.feature_table(s.unique()).select(KEY, *NUMERIC)

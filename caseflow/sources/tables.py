@@ -11,9 +11,11 @@ from pyspark.sql import types as T
 
 from caseflow.operators.features import guard_leakage
 from caseflow.schema import KEY, N_SPLITS, SEED, STRAT_BINS, TARGET
+from caseflow.session import new_path
 from caseflow.sources import snapshots
 
 HEAD_ROWS = 50
+BUCKETS = 64
 
 
 def read_interim(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFrame:
@@ -82,6 +84,20 @@ def read_bundle(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, buckets: int = BUCKETS, key: str = KEY) -> DataFrame:
+    """Write a table bucketed and sorted by its key below the shared folder, and read it back.
+
+    Tables with the same number of buckets are joined on the key, or aligned to each other, where
+    they lie: neither side is shuffled. Rows are dealt by key first, so a bucket is one file.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    table = path.rpartition("/")[2].replace("-", "_")
+    dealt = df.repartition(buckets, key)
+    dealt.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 @dataclass(frozen=True)
 class FeatureSpec:
     """What a processed bundle contains and how it is meant to be encoded."""

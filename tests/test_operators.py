@@ -32,6 +32,37 @@ def test_funnel_counts_with_date_formats(spark):
     assert interim.count() == 2 and {r.n_rows for r in funnel.collect()} == {2}
 
 
+def test_live_funnel_counts_while_it_writes(spark):
+    raw = spark.createDataFrame([(str(i % 40), f"2024-01-{1 + i % 28:02d}", None if i % 9 == 0 else f"2024-01-{1 + i % 27:02d}", "a") for i in range(200)], RAW)
+    interim, live = pipeline.build_interim_live(raw)
+    want = clean.funnel(raw, clean.last_ordered(raw))
+    assert rows(live, "step", "stage", "n_rows") == rows(want, "step", "stage", "n_rows")
+    assert interim.count() == live.where("stage = 'outlier_filter'").first().n_rows > 0
+
+
+def test_bucketed_tables_are_not_shuffled(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = spark.range(500).select(F.col("id").cast("string").alias("unique_key"), F.col("id").alias("v"))
+        sides = [tables.write_bucketed(t, n, 4) for t, n in ((left, "left"), (left.where("v % 3 = 0").select("unique_key", F.col("v").alias("w")), "right"))]
+        for joined, n in ((features.align_to_target(*sides), 167), (sides[0].join(sides[1], "unique_key"), 167)):
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan and "SortMergeJoin" in plan and joined.count() == n
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_results_and_predictions_are_written(spark, tmp_path):
+    preds = spark.createDataFrame([("m", "t", "a", "1", 0, 1.0, 2.0), ("m", "t", "a", "2", 1, 1.0, 0.5)], "model string, tag string, config_id string, unique_key string, fold int, y_true double, y_pred double")
+    tables.write_predictions(preds, f"{tmp_path}/preds")
+    stored = spark.read.parquet(f"{tmp_path}/preds")
+    results = profile.results_from(stored, [])
+    tables.write_results(results, f"{tmp_path}/results")
+    back = spark.read.option("header", True).option("inferSchema", True).csv(f"{tmp_path}/results")
+    assert rows(back, "row_type", "fold", "mae", "is_best") == rows(results, "row_type", "fold", "mae", "is_best") and back.count() == 3
+    assert len(list((tmp_path / "results").glob("part-*.csv"))) == 1
+
+
 def test_older_valid_row_survives_an_invalid_newer_one(spark):
     raw = spark.createDataFrame([("1", "2024-01-01", "2024-01-02", "a"), ("1", "2024-03-01", "2024-02-01", "b"), ("1", None, "2024-05-01", "c")], RAW)
     assert rows(clean.dated_and_unique(raw), "agency") == [("a",)]
