@@ -3,8 +3,9 @@
 Plain counts (words, symbols, repeated lines, repeated five-word windows) fail the obviously poor
 texts. The others are compared with references of their language: the shares of character classes
 (lower case, upper case, space, digit, sentence mark, symbol, other) and the shares of the language's
-most common short words. Both are distributions; their Jensen-Shannon distance (base 2, from 0 to 1)
-to the nearest reference must stay below a threshold. References are learned from all documents of
+most common short words. Both are distributions; their Jensen-Shannon distances (base 2, from 0 to 1)
+to one language must both stay below a threshold: those to the language that fits best are returned, the one
+of which the larger part of a threshold is the least. References are learned from all documents of
 a language, for every language that has a word: those of frequent languages are written into the query,
 the others are kept in a table; texts below a minimum length are not judged by divergence, and neither is any text while
 there is no reference.
@@ -112,14 +113,23 @@ def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
 
 
-def js_distance(p: Column, q: list[float] | Column) -> Column:
-    """Jensen-Shannon distance between a column of shares and fixed shares or another column."""
-    ref = q if isinstance(q, Column) else F.array(*(F.lit(float(x)) for x in q))
+def _part(x: Column, y: Column) -> Column:
+    return F.when(x > 0, x * F.log2(2 * x / (x + y))).otherwise(0.0)
+
 
-    def part(x: Column, y: Column) -> Column:
-        return F.when(x > 0, x * F.log2(2 * x / (x + y))).otherwise(0.0)
+def js_distance(p: Column, q: list[float] | Column) -> Column:
+    """Jensen-Shannon distance between a column of shares and fixed shares or another column.
 
-    return F.sqrt(F.greatest(F.lit(0.0), _sum(F.zip_with(p, ref, lambda x, y: (part(x, y) + part(y, x)) / 2))))
+    Fixed shares are written out term by term, which the engine compiles.
+    """
+    if isinstance(q, Column):
+        total = _sum(F.zip_with(p, q, lambda x, y: (_part(x, y) + _part(y, x)) / 2))
+    else:
+        total = F.lit(0.0)
+        for i, share in enumerate(q):
+            x, y = F.get(p, F.lit(i)), F.lit(float(share))
+            total = total + (_part(x, y) + (_part(y, x) if share > 0 else F.lit(0.0))) / 2
+    return F.sqrt(F.greatest(F.lit(0.0), total))
 
 
 def _word_shares(short: Column, n_words: Column, words: list[str]) -> Column:
@@ -191,18 +201,24 @@ def judge(docs: DataFrame, refs: list[Reference], text_col: str = "text", rest:
     total = F.greatest(F.lit(1), sum((F.col(c) for c in CLASSES[1:]), F.col(CLASSES[0])))
     shares = counted.withColumns({"base_failed": failed, "classes": F.array(*(F.col(c) / total for c in CLASSES))})
     n = F.greatest(F.lit(1), F.col("n_words"))
-    class_distance = [js_distance(F.col("classes"), r.classes) for r in refs]
-    word_distance = [js_distance(_word_shares(F.col("short"), n, r.words), r.word_shares) for r in refs]
+    # The shares first, in columns of their own: each is used in several terms.
+    words = {f"words{i}": _word_shares(F.col("short"), n, r.words) for i, r in enumerate(refs)}
+    shares = shares.withColumns(words).drop("short") if rest is None else shares.withColumns(words)
+
+    def fit(by_class: Column, by_word: Column) -> Column:
+        worst = F.greatest(by_class / MOST_CLASS_DISTANCE, by_word / MOST_WORD_DISTANCE)
+        return F.struct(worst.alias("worst"), by_class.alias("class_distance"), by_word.alias("word_distance"))
+
+    apart = {f"apart{i}": F.struct(js_distance(F.col("classes"), r.classes).alias("c"), js_distance(F.col(f"words{i}"), r.word_shares).alias("w")) for i, r in enumerate(refs)}
+    far = shares.withColumns(apart).drop(*words)
+    fits = [fit(F.col(a)["c"], F.col(a)["w"]) for a in apart]
     if rest is not None:
-        shares = shares.crossJoin(F.broadcast(rest.agg(F.collect_list(F.struct("classes", "words", "word_shares")).alias("rest"))))
-        class_distance.append(F.array_min(F.transform("rest", lambda r: js_distance(F.col("classes"), r["classes"]))))
-        word_distance.append(F.array_min(F.transform("rest", lambda r: js_distance(_listed_shares(F.col("short"), n, r["words"]), r["word_shares"]))))
-    none = F.lit(None).cast("double")
-    far = shares.withColumns({
-        "class_distance": F.array_min(F.array(*class_distance)) if class_distance else none,
-        "word_distance": F.array_min(F.array(*word_distance)) if word_distance else none,
-    })
+        far = far.crossJoin(F.broadcast(rest.agg(F.collect_list(F.struct("classes", "words", "word_shares")).alias("rest"))))
+        fits.append(F.array_min(F.transform("rest", lambda r: fit(js_distance(F.col("classes"), r["classes"]), js_distance(_listed_shares(F.col("short"), n, r["words"]), r["word_shares"])))))
+    nearest = F.array_min(F.array(*fits)) if fits else F.lit(None).cast("struct<worst:double,class_distance:double,word_distance:double>")
+    far = far.withColumn("nearest", nearest).drop(*apart)
+    far = far.withColumns({"class_distance": F.col("nearest.class_distance"), "word_distance": F.col("nearest.word_distance")})
     within = (F.col("class_distance") <= MOST_CLASS_DISTANCE) & (F.col("word_distance") <= MOST_WORD_DISTANCE)
-    fits = within if class_distance else F.lit(True)
+    fits = within if fits else F.lit(True)
     verdict = ~F.col("base_failed") & ((F.col("n_words") < JUDGED_WORDS) | fits)
     return far.withColumn("kept", verdict).select("row.*", *made)
