@@ -7,23 +7,17 @@ at which it starts, so that equal ranges have equal hashes wherever they stand.
 from __future__ import annotations
 
 import numpy as np
-
-from .shared import BoundedCache
+from xxhash import xxh64_intdigest
 
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
-_HASHES: list[BoundedCache] = []
 _POWERS: list[np.ndarray] = []
 
 
 def word_hashes(words: list[str] | list[bytes]) -> np.ndarray:
-    """A 64-bit hash of each word."""
-    if not _HASHES:
-        from xxhash import xxh64_intdigest
-
-        _HASHES.append(BoundedCache(xxh64_intdigest))
-    return np.fromiter(map(_HASHES[0].__getitem__, words), np.uint64, len(words))
+    """A 64-bit hash of each word; hashing anew is quicker than looking words up."""
+    return np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
