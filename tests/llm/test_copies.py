@@ -249,6 +249,36 @@ def test_links_of_few_texts_are_all_counted(spark):
     assert got == {**dict.fromkeys(range(7), 6), 8: 0, 9: 0}
 
 
+def test_passages_alike_in_large_groups(spark):
+    """Pairs that share fifty words but one, most of them a sentence of many texts, are in one class."""
+    rng = random.Random(12)
+    sentence = passage_words(rng, 42)
+    texts = [f"{passage_words(rng, 20)} {sentence} {passage_words(rng, 20)}" for _ in range(40)]
+    for _ in range(8):
+        before, after = passage_words(rng, 4), passage_words(rng, 3)
+        texts += [f"{passage_words(rng, 20)} {before} {sentence} {passage_words(rng, 1)} {after} {passage_words(rng, 20)}" for _ in range(2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for block in (512, 7):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(windows, "BLOCK", block)
+            got = {r.doc_id: r for r in windows.repeated_passages(docs).collect()}
+        assert all(got[i].class_id == i - i % 2 and got[i].n_links == 1 for i in range(40, 56))
+        assert all(got[i].class_id == i and not got[i].n_links for i in range(40))
+
+
+def test_common_places(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(windows, "VALUES_AT_ONCE", 3)
+    lists = [[1, 1, 2, 9], [2, 2, 5], [7], [9, 1, 5, 5, 5], [1, 8, 1, 8, 1, 8, 1, 8, 1, 8, 1, 8, 1, 8, 1, 8]]
+    nth, _ = windows.places(np.array([len(x) for x in lists]))
+    want = [[sum(v in other for v in one) for other in lists] for one in lists]
+    want[4][0], want[4][3] = 8, 7  # one place of the other is within three of seven places
+    assert windows.common_places(nth, np.concatenate(lists), 5).tolist() == want
+    # Far apart, a value counts as often as in the other list.
+    assert windows.common_places(np.repeat([0, 1], [11, 2]), np.array([*range(10), 0, 0, 1]), 2).tolist() == [[11, 2], [2, 2]]
+
+
 def test_empty_tables(spark, empty_folder):
     for name in ("op3_passages", "op4_simhash", "op6_line_dedup"):
         assert queries.QUERIES[name](spark, empty_folder).collect() == []
